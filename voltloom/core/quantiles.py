@@ -1,9 +1,10 @@
 """Exact group quantiles that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer, which a hot
-group makes unbounded.  Here ranks are located in two counting passes (each one
-a partial aggregate that ships only bucket counts) and only the rows of the
-bucket that holds a wanted rank are ever sorted.
+group makes unbounded.  Here equal values are folded before the shuffle, the
+folded values are spread by (group, value bucket), bucket counts locate the
+wanted ranks, and only the buckets that hold one are ordered.  A hot group is
+thus split over as many tasks as its values fill buckets.
 """
 
 from __future__ import annotations
@@ -14,90 +15,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_FINE = 4096  # linear sub-buckets of a coarse bucket
-_COARSE = 64.0  # coarse buckets per unit of log1p
+_PER_UNIT = 4096.0  # buckets per unit of log1p: neighbours differ by 0.024 %
 
 
-def _coarse_bucket(v: Column) -> Column:
-    """A monotone whole-number bucket, finer near zero; needs no bounds of the data."""
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(_COARSE)).cast("long")
+def _bucket(v: Column) -> Column:
+    """A monotone whole-number bucket of a value, finer near zero; needs no bounds of the data."""
+    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(_PER_UNIT)).cast("long")
 
 
-def _locate(hist: DataFrame, by: Sequence[str], order: str, ranks: Column) -> DataFrame:
-    """Bucket rows that hold one of ``ranks`` (0-based within ``by``), one row per rank."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    run = hist.withColumn("_end", F.sum("_n").over(w))
-    hit = F.filter(ranks, lambda r: (r < F.col("_end")) & (r >= F.col("_end") - F.col("_n")))
-    return run.withColumn("_rank", F.explode(hit)).withColumn("_local", F.col("_rank") - (F.col("_end") - F.col("_n")))
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
+                    count_as: str | None = None, distinct_as: str | None = None) -> DataFrame:
+    """``keys`` + one column per entry of ``probs``: linear interpolation between ranks, nulls and NaN ignored.
 
-
-def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """``keys`` + one column per entry of ``probs``, linear interpolation, nulls ignored.
-
-    Null keys form groups of their own.  Groups without a value are absent.
+    Null keys form groups of their own; groups without a value are absent.
+    ``count_as`` and ``distinct_as`` add the number of values and of distinct values.
+    The source is read once: both branches below share the (group, bucket) exchange.
     """
-    kk = [f"_k{i}" for i in range(len(keys))] or ["_k0"]
-    src = [F.col(k) for k in keys] or [F.lit(0)]
-    base = df.select(*[s.alias(a) for s, a in zip(src, kk, strict=True)], F.col(value).cast("double").alias("_v"))
-    # null keys must meet in the joins below, so they are carried as a struct text-free pair
-    base = base.where("_v is not null").withColumn("_g", F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for k in kk]))
-    gk = ["_g", *kk]
-    base = base.withColumn("_b", _coarse_bucket(F.col("_v")))
-
-    hist = base.groupBy(*gk, "_b").agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    total = F.sum("_n").over(Window.partitionBy(*gk))
-    hist = hist.withColumn("_total", total)
-    wanted = []
-    for p in probs.values():
+    v = F.col(value).cast("double")
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_one"))
+    base = df.select(key.alias("_g"), v.alias("_v")).where("_v is not null and not isnan(_v)")
+    folded = base.withColumn("_b", _bucket(F.col("_v"))).groupBy("_g", "_b", "_v").agg(F.count("*").alias("_n"))
+    spread = folded.repartition("_g", "_b")
+
+    group = Window.partitionBy("_g")
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"))
+    hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group)})
+
+    def ranks(p: float) -> tuple[Column, Column]:
         pos = (F.col("_total") - 1) * F.lit(float(p))
-        wanted += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    coarse = _locate(hist, gk, "_b", F.array_distinct(F.array(*wanted)))
-    done1 = (F.col("_lo") == F.col("_hi")) | (F.col("_local") == 0) | (F.col("_local") == F.col("_n") - 1)
-    value1 = F.when(F.col("_local") == 0, F.col("_lo")).otherwise(F.col("_hi"))
-    easy = coarse.where(done1).select(*gk, "_rank", "_total", value1.alias("_val"))
-    hard = coarse.where(~done1)
+        return F.floor(pos).cast("long"), F.ceil(pos).cast("long")
 
-    # pass 2: linear sub-buckets inside the coarse buckets that are still open
-    open_b = hard.groupBy(*gk, "_b").agg(
-        F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.first("_total").alias("_total"),
-        F.first(F.col("_end") - F.col("_n")).alias("_before"), F.collect_set("_rank").alias("_ranks"))
-    r = open_b.select(*[F.col(c).alias(f"{c}_r") for c in gk], F.col("_b").alias("_b_r"),
-                      "_lo", "_hi", "_total", "_before", "_ranks")
-    cond = (F.col("_b") == F.col("_b_r"))
-    for c in gk:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"{c}_r"))
-    inside = base.join(r, cond).withColumn(
-        "_s", F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * _FINE), F.lit(_FINE - 1)))
-    sub_keys = [*gk, "_b"]
-    sub = inside.groupBy(*sub_keys, "_s").agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
-        F.first("_total").alias("_total"), F.first("_before").alias("_before"), F.first("_ranks").alias("_ranks"))
-    fine = _locate(sub, sub_keys, "_s", F.transform("_ranks", lambda x: x - F.col("_before")))
-    fine = fine.withColumn("_rank", F.col("_rank") + F.col("_before"))
-    easy2 = fine.where(done1).select(*gk, "_rank", "_total", value1.alias("_val"))
-    left = fine.where(~done1).select(*sub_keys, "_s", "_rank", "_local", "_total")
+    wanted = F.array_distinct(F.array(*[r for p in probs.values() for r in ranks(p)]))
+    before = F.col("_end") - F.col("_bn")
+    in_bucket = F.filter(wanted, lambda r: (r < F.col("_end")) & (r >= before))
+    target = hist.select("_g", "_b", "_total", "_distinct", before.alias("_before"), in_bucket.alias("_want")).where(F.size("_want") > 0)
 
-    # pass 3: the few rows that share the sub-bucket of a wanted rank, equal values folded
-    l2 = left.select(*[F.col(c).alias(f"{c}_l") for c in (*sub_keys, "_s")], "_rank", "_local", F.col("_total").alias("_tot"))
-    targets = l2.groupBy(*[f"{c}_l" for c in (*sub_keys, "_s")]).agg(
-        F.collect_set(F.struct("_local", "_rank")).alias("_want"), F.first("_tot").alias("_tot"))
-    cond2 = F.col("_s") == F.col("_s_l")
-    for c in sub_keys:
-        cond2 = cond2 & F.col(c).eqNullSafe(F.col(f"{c}_l"))
-    folded = inside.select(*sub_keys, "_s", "_v").join(targets, cond2).groupBy(*sub_keys, "_s", "_v").agg(
-        F.count("*").alias("_n"), F.first("_want").alias("_want"), F.first("_tot").alias("_total"))
-    w = Window.partitionBy(*sub_keys, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    run = folded.withColumn("_end", F.sum("_n").over(w))
-    hit = F.filter("_want", lambda x: (x["_local"] < F.col("_end")) & (x["_local"] >= F.col("_end") - F.col("_n")))
-    last = run.withColumn("_w", F.explode(hit)).select(*gk, F.col("_w._rank").alias("_rank"), "_total", F.col("_v").alias("_val"))
-
-    found = easy.unionByName(easy2).unionByName(last)
+    order = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    run = spread.join(target, ["_g", "_b"]).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
+    hit = F.filter("_want", lambda r: (r < F.col("_to")) & (r >= F.col("_to") - F.col("_n")))
+    found = run.select("_g", "_v", "_total", "_distinct", F.explode(hit).alias("_rank"))
     aggs = []
     for name, p in probs.items():
-        pos = (F.col("_total") - 1) * F.lit(float(p))
-        lo = F.max(F.when(F.col("_rank") == F.floor(pos), F.col("_val")))
-        hi = F.max(F.when(F.col("_rank") == F.ceil(pos), F.col("_val")))
-        frac = F.max(pos - F.floor(pos))
+        lo_r, hi_r = ranks(p)
+        lo = F.max(F.when(F.col("_rank") == lo_r, F.col("_v")))
+        hi = F.max(F.when(F.col("_rank") == hi_r, F.col("_v")))
+        frac = F.max((F.col("_total") - 1) * F.lit(float(p)) - lo_r)
         aggs.append((lo + (hi - lo) * frac).alias(name))
-    out = found.groupBy(*gk).agg(*aggs)
-    return out.select(*[F.col(a).alias(k) for a, k in zip(kk, keys, strict=False)], *probs)
+    extra = [F.max(c).alias(n) for c, n in (("_total", count_as), ("_distinct", distinct_as)) if n]
+    out = found.groupBy("_g").agg(*aggs, *extra)
+    return out.select(*[F.col("_g")[k].alias(k) for k in keys], *probs, *[n for n in (count_as, distinct_as) if n])

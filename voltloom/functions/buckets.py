@@ -50,7 +50,9 @@ def cloud_bucket(cloud: Column | str) -> Column:
 
 
 def cloud_bin(cloud: Column | str) -> Column:
-    return cut_right(F.greatest(F.least(_c(cloud), F.lit(1.0)), F.lit(0.0)), CLOUD_EDGES, _codes(CLOUD_EDGES))
+    c = _c(cloud)
+    bounded = F.when(c > 1, 1.0).when(c < 0, 0.0).otherwise(c)  # greatest/least would turn null into a bound
+    return cut_right(bounded, CLOUD_EDGES, _codes(CLOUD_EDGES))
 
 
 def solar_proxy_bin(mw: Column | str) -> Column:
@@ -147,16 +149,15 @@ def with_quartile_bucket(df: DataFrame, value_col: str, out_col: str, keys: Sequ
     group is split at its median; values that are not positive give 'None'.
     """
     v = F.coalesce(F.col(value_col), F.lit(0.0))
-    gk = list(keys) or ["_all"]
-    src = df if keys else df.withColumn("_all", F.lit(1))
-    pos = src.where(v > 0)
-    size = pos.groupBy(*gk).agg(F.count("*").alias("_n"), F.count_distinct(value_col).alias("_nd"))
-    q = group_quantiles(pos, gk, value_col, {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
-    stats = null_safe_join(size, q, gk)
-    out = null_safe_join(src, stats, gk)
+    stats = group_quantiles(df.where(v > 0), keys, value_col, {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75}, count_as="_n", distinct_as="_nd")
+    if keys:
+        out = null_safe_join(df, stats, keys)
+    else:  # one row: a scalar subquery is computed once per query however often the frame is read
+        names = ("_q1", "_q2", "_q3", "_n", "_nd")
+        out = df.withColumn("_st", stats.select(F.struct(*names)).scalar()).withColumns({n: F.col(f"_st.{n}") for n in names}).drop("_st")
     fine = (F.col("_n") >= min_rows) & (F.col("_nd") >= min_distinct)
     quart = (F.when(v <= F.col("_q1"), labels[0]).when(v <= F.col("_q2"), labels[1])
              .when(v <= F.col("_q3"), labels[2]).otherwise(labels[3]))
     half = F.when(v <= F.col("_q2"), "Low/Medium").otherwise("High")
     bucket = F.when(~(v > 0), "None").when(fine, quart).otherwise(half)
-    return out.withColumn(out_col, bucket).drop("_n", "_nd", "_q1", "_q2", "_q3", "_all")
+    return out.withColumn(out_col, bucket).drop("_n", "_nd", "_q1", "_q2", "_q3")
