@@ -42,8 +42,8 @@ def first_match(frame: DataFrame, lookup: DataFrame, levels: Sequence[Level], va
         need = F.element_at(F.create_map(*[x for k, v in min_n.items() for x in (F.lit(k), F.lit(int(v)))]), c("level"))
         lk = lk.where(c("count") >= need)
     best = F.min_by(F.struct(c(value).alias("v"), c("level").alias("l")), "_order")
-    got = resolve(frame, lk, levels, by, [best.alias("_hit")])
-    return null_safe_join(frame, got, [*by, *all_keys(levels)]).withColumns({out: c("_hit.v"), source: c("_hit.l")}).drop("_hit")
+    got = resolve(frame, lk, levels, by, [best.alias("_fm")])
+    return null_safe_join(frame, got, [*by, *all_keys(levels)]).withColumns({out: c("_fm.v"), source: c("_fm.l")}).drop("_fm")
 
 
 def _is(col: str, *values: str) -> Column:
