@@ -149,7 +149,7 @@ def _(spark, d):
 @query("agg16_daily_shape", W(""",
 b AS (SELECT seg, "Date", q, Actual_kWh AS v FROM v_int), pk AS (SELECT seg, "Date", max(v) AS p FROM b GROUP BY 1, 2 HAVING max(v) > 0),
 s AS (SELECT seg, q, quantile_cont(v/p, 0.75) AS x FROM b JOIN pk USING (seg, "Date") GROUP BY 1, 2), r AS (SELECT seg, quantile_cont(p, 0.75) AS ref FROM pk GROUP BY 1), t AS (SELECT seg, max(x) AS top FROM s GROUP BY 1)
-SELECT seg, CAST(sl AS INT) AS slot, coalesce(x,0)/top*ref AS kw FROM (SELECT DISTINCT seg FROM v_int), range(96) z(sl) LEFT JOIN s USING (seg) JOIN r USING (seg) JOIN t USING (seg) WHERE s.q = sl"""), r6=["kw"])
+SELECT g.seg, CAST(sl AS INT) AS slot, coalesce(x,0)/top*ref AS kw FROM (SELECT DISTINCT seg, sl FROM v_int, range(96) z(sl)) g LEFT JOIN s ON s.seg = g.seg AND s.q = g.sl JOIN r ON r.seg = g.seg JOIN t ON t.seg = g.seg"""), r6=["kw"])
 def _(spark, d):
     o = S.daily_shape(intervals(spark, d), "Actual_kWh", ["seg"])
     return o.select("seg", "slot", F.col("Average_kW").alias("kw"))
