@@ -24,11 +24,12 @@ def _bucket(v: Column) -> Column:
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
-                    count_as: str | None = None, distinct_as: str | None = None) -> DataFrame:
+                    count_as: str | None = None, distinct_as: str | None = None, mean_as: str | None = None) -> DataFrame:
     """``keys`` + one column per entry of ``probs``: linear interpolation between ranks, nulls and NaN ignored.
 
     Null keys form groups of their own; groups without a value are absent.
-    ``count_as`` and ``distinct_as`` add the number of values and of distinct values.
+    ``count_as``, ``distinct_as`` and ``mean_as`` add the number of values, of
+    distinct values, and their mean.
     The source is read once: both branches below share the (group, bucket) exchange.
     """
     v = F.col(value).cast("double")
@@ -39,8 +40,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"))
-    hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group)})
+    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
+    hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group),
+                             "_mean": F.sum("_bs").over(group) / F.sum("_bn").over(group)})
 
     def ranks(p: float) -> tuple[Column, Column]:
         pos = (F.col("_total") - 1) * F.lit(float(p))
@@ -49,12 +51,12 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     wanted = F.array_distinct(F.array(*[r for p in probs.values() for r in ranks(p)]))
     before = F.col("_end") - F.col("_bn")
     in_bucket = F.filter(wanted, lambda r: (r < F.col("_end")) & (r >= before))
-    target = hist.select("_g", "_b", "_total", "_distinct", before.alias("_before"), in_bucket.alias("_want")).where(F.size("_want") > 0)
+    target = hist.select("_g", "_b", "_total", "_distinct", "_mean", before.alias("_before"), in_bucket.alias("_want")).where(F.size("_want") > 0)
 
     order = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     run = spread.join(target, ["_g", "_b"]).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
     hit = F.filter("_want", lambda r: (r < F.col("_to")) & (r >= F.col("_to") - F.col("_n")))
-    found = run.select("_g", "_v", "_total", "_distinct", F.explode(hit).alias("_rank"))
+    found = run.select("_g", "_v", "_total", "_distinct", "_mean", F.explode(hit).alias("_rank"))
     aggs = []
     for name, p in probs.items():
         lo_r, hi_r = ranks(p)
@@ -62,6 +64,6 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         hi = F.max(F.when(F.col("_rank") == hi_r, F.col("_v")))
         frac = F.max((F.col("_total") - 1) * F.lit(float(p)) - lo_r)
         aggs.append((lo + (hi - lo) * frac).alias(name))
-    extra = [F.max(c).alias(n) for c, n in (("_total", count_as), ("_distinct", distinct_as)) if n]
+    extra = [F.max(c).alias(n) for c, n in (("_total", count_as), ("_distinct", distinct_as), ("_mean", mean_as)) if n]
     out = found.groupBy("_g").agg(*aggs, *extra)
-    return out.select(*[F.col("_g")[k].alias(k) for k in keys], *probs, *[n for n in (count_as, distinct_as) if n])
+    return out.select(*[F.col("_g")[k].alias(k) for k in keys], *probs, *[n for n in (count_as, distinct_as, mean_as) if n])

@@ -30,9 +30,8 @@ def band_lookup(work: DataFrame, residual: str, floor: float = 4.0, by: Sequence
     """Long lookup (by, level, key): p50, p80 and p90 of the absolute residual, its mean and count, and the floored band."""
     long = work.where(c(residual).isNotNull()).select(*by, F.abs(residual).alias("_ae"), F.inline(level_rows(levels)))
     keys = [*by, "level", "key"]
-    q = group_quantiles(long, keys, "_ae", {"p50": 0.5, "p80": 0.8, "p90": 0.9}, count_as="count")
-    m = long.groupBy(*keys).agg(F.avg("_ae").alias("mean"))
-    return null_safe_join(q, m, keys).withColumn("band_mwh", F.greatest(F.lit(float(floor)), c("p80")))
+    q = group_quantiles(long, keys, "_ae", {"p50": 0.5, "p80": 0.8, "p90": 0.9}, count_as="count", mean_as="mean")
+    return q.withColumn("band_mwh", F.greatest(F.lit(float(floor)), c("p80")))
 
 
 def first_match(frame: DataFrame, lookup: DataFrame, levels: Sequence[Level], value: str, by: Sequence[str] = (), out: str = "_band", source: str = "_level", min_n: Mapping[str, int] | None = None) -> DataFrame:
@@ -206,28 +205,37 @@ def conformal_bands(df: DataFrame, lookup: DataFrame, base: str, halfspread: Col
     return out.withColumn("Band", cand).withColumns(interval_columns(base))
 
 
-def prior_origin_quantiles(errors: DataFrame, origin: str, error: str, by: Sequence[str] = (), quantile: float = 0.80) -> DataFrame:
+def prior_origin_quantiles(errors: DataFrame, origin: str, error: str, by: Sequence[str] = (), quantile: float = 0.80, per_unit: float = 256.0) -> DataFrame:
     """Per origin and level, the error quantile over strictly earlier origins.
 
-    Exact, without pairing rows with origins: equal errors are folded per
-    (level, value, origin), the running count of every value over origins is
-    laid out, and ranks are found per (origin, level) from those counts.
+    Rows are never paired with origins.  Counts per (level, value bucket, origin)
+    are carried to the later origins; their number depends on buckets and
+    origins, not on rows.  They place the wanted ranks in a bucket, and only the
+    folded values of that bucket are then counted per origin.
     """
-    long = errors.where(c(error).isNotNull()).select(*by, c(origin).alias("_o"), c(error).alias("_v"), F.inline(level_rows(CONFORMAL_LEVELS)))
+    v = c(error).cast("double")
+    bucket = F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(per_unit)).cast("long")
+    long = errors.where(v.isNotNull()).select(*by, c(origin).alias("_o"), v.alias("_v"), bucket.alias("_b"), F.inline(level_rows(CONFORMAL_LEVELS)))
     k = [*by, "level", "key"]
-    # origins are few: each folded value is given to the later origins of its level
-    folded = long.groupBy(*k, "_v", "_o").agg(F.count("*").alias("_n"))
-    origins = errors.select(*by, c(origin).alias("_t")).distinct()
-    later = null_safe_join(folded, origins, list(by), "inner") if by else folded.join(origins, F.lit(True))
-    past = later.where(c("_t") > c("_o")).groupBy(*k, "_t", "_v").agg(F.sum("_n").alias("_n"))
-    return quantile_of_counts(past, [*k, "_t"], "_v", "_n", quantile).withColumnRenamed("_t", origin)
-
-
-def quantile_of_counts(df: DataFrame, keys: Sequence[str], value: str, n: str, p: float) -> DataFrame:
-    """Interpolated quantile of values that carry a count."""
-    w = Window.partitionBy(*keys)
-    run = df.withColumns({"_end": F.sum(n).over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)), "_tot": F.sum(n).over(w)})
-    pos = (c("_tot") - 1) * F.lit(float(p))
-    at = lambda r: F.max(F.when((r < c("_end")) & (r >= c("_end") - c(n)), c(value)))
-    lo, hi = at(F.floor(pos)), at(F.ceil(pos))
-    return run.groupBy(*keys).agg((lo + (hi - lo) * F.max(pos - F.floor(pos))).alias("q"), F.max("_tot").alias("count"))
+    folded = long.groupBy(*k, "_b", "_v", "_o").agg(F.count("*").alias("_n"))
+    spread = folded.repartition(*k, "_b")
+    names = errors.select(*by, origin).distinct().groupBy(*by).agg(F.array_sort(F.collect_set(origin)).alias("_all"))  # origins of a replay
+    cells = spread.groupBy(*k, "_b", "_o").agg(F.sum("_n").alias("_n"))
+    cells = null_safe_join(cells, names, by) if by else cells.withColumn("_all", names.scalar())
+    later = cells.withColumn("_t", F.explode(F.filter("_all", lambda t: t > c("_o"))))
+    hist = later.groupBy(*k, "_t", "_b").agg(F.sum("_n").alias("_bn"))
+    w = Window.partitionBy(*k, "_t")
+    hist = hist.withColumns({"_end": F.sum("_bn").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)), "_tot": F.sum("_bn").over(w)})
+    pos = (c("_tot") - 1) * F.lit(float(quantile))
+    lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
+    before = c("_end") - c("_bn")
+    want = F.filter(F.array_distinct(F.array(lo, hi)), lambda r: (r < c("_end")) & (r >= before))
+    target = hist.select(*k, "_t", "_b", "_tot", before.alias("_before"), want.alias("_want")).where(F.size("_want") > 0)
+    inside = spread.join(target, [*k, "_b"]).where(c("_o") < c("_t")).groupBy(*k, "_t", "_b", "_v").agg(
+        F.sum("_n").alias("_n"), F.first("_tot").alias("_tot"), F.first("_before").alias("_before"), F.first("_want").alias("_want"))
+    run = inside.withColumn("_to", F.sum("_n").over(Window.partitionBy(*k, "_t", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) + c("_before"))
+    hit = F.filter("_want", lambda r: (r < c("_to")) & (r >= c("_to") - c("_n")))
+    found = run.select(*k, "_t", "_v", "_tot", F.explode(hit).alias("_r"))
+    at = lambda r: F.max(F.when(c("_r") == r, c("_v")))
+    out = found.groupBy(*k, "_t").agg((at(lo) + (at(hi) - at(lo)) * F.max(pos - F.floor(pos))).alias("q"), F.max("_tot").alias("count"))
+    return out.withColumnRenamed("_t", origin)

@@ -86,27 +86,28 @@ def new_records(daily: DataFrame, features: Sequence[str], start: str, end: str,
 def weight_search(df: DataFrame, parts: Sequence[str], step: float, max_peak_loss: float, actual: str = ACTUAL) -> DataFrame:
     """Best convex weights of three forecasts by MAE, among those whose peak under-forecast is near the lowest.
 
-    Every row computes the errors of all grid points as one array, so the grid
-    is an expression and not a join; arrays are summed position by position.
+    Every grid point is an aggregate of the same pass, so rows are neither
+    copied nor joined with the grid; one row of sums is then laid out.
     """
     k = round(1 / step)
     grid = [(a / k, b / k, (k - a - b) / k) for a in range(k + 1) for b in range(k + 1 - a)]
-    y = c(actual)
-    r = F.array(*[y - sum((w * c(p) for w, p in zip(ws, parts, strict=True)), F.lit(0.0)) for ws in grid])
-    long = df.select((c("Hour").between(14, 18)).alias("_pk"), F.posexplode(r).alias("_i", "_r"))
-    g = long.groupBy("_i").agg(F.avg(F.abs("_r")).alias("mae"), F.avg(F.when(c("_pk"), F.greatest(c("_r"), F.lit(0.0)))).alias("pu"))
-    table = F.array(*[F.struct(F.lit(a).alias("wa"), F.lit(b).alias("wb")) for a, b, _ in grid])
-    g = g.withColumn("_w", F.element_at(table, c("_i") + 1)).select(c("_w.wa").alias("wa"), c("_w.wb").alias("wb"), "mae", "pu")
+    y, peak = c(actual), c("Hour").between(14, 18)
+    aggs = []
+    for i, ws in enumerate(grid):
+        r = y - sum((w * c(p) for w, p in zip(ws, parts, strict=True)), F.lit(0.0))
+        aggs += [F.avg(F.abs(r)).alias(f"m{i}"), F.avg(F.when(peak, F.greatest(r, F.lit(0.0)))).alias(f"p{i}")]
+    one = df.agg(*aggs)
+    g = one.select(F.inline(F.array(*[F.struct(F.lit(a).alias("wa"), F.lit(b).alias("wb"), c(f"m{i}").alias("mae"), c(f"p{i}").alias("pu")) for i, (a, b, _) in enumerate(grid)])))
     low = F.min("pu").over(Window.partitionBy(F.lit(0)))  # one row per grid point
     return g.withColumn("_lo", low).where(c("pu") <= c("_lo") + max_peak_loss).orderBy("mae", "wa", "wb").limit(1).drop("_lo")
 
 
 def guard_sweep(df: DataFrame, base: str, anchor: str, blends: Sequence[float], caps: Sequence[float], actual: str = ACTUAL) -> DataFrame:
     """Error of a capped pull toward an anchor for every (blend, cap), in one pass over the rows."""
-    pts = [(b, k) for b in blends for k in caps]
-    e = F.array(*[F.struct(F.lit(float(b)).alias("blend"), F.lit(float(k)).alias("cap"), F.abs(c(actual) - (c(base) + clip((c(anchor) - c(base)) * b, -k, k))).alias("_e")) for b, k in pts])
-    long = df.select(F.abs(c(actual) - c(base)).alias("_b"), F.inline(e))
-    return long.groupBy("blend", "cap").agg(F.avg("_e").alias("mae"), F.avg("_b").alias("base"))
+    pts = [(float(b), float(k)) for b in blends for k in caps]
+    e = [F.avg(F.abs(c(actual) - (c(base) + clip((c(anchor) - c(base)) * b, -k, k)))).alias(f"m{i}") for i, (b, k) in enumerate(pts)]
+    one = df.agg(*e, F.avg(F.abs(c(actual) - c(base))).alias("base"))
+    return one.select("base", F.inline(F.array(*[F.struct(F.lit(b).alias("blend"), F.lit(k).alias("cap"), c(f"m{i}").alias("mae")) for i, (b, k) in enumerate(pts)])))
 
 
 def peak_muting(future: DataFrame, past: DataFrame, forecast: str, stress: str, keys: Sequence[str] = ("series",), actual: str = ACTUAL) -> DataFrame:

@@ -17,7 +17,7 @@ from ..sources import scans as SR
 from ..sources import store as ST
 from .a_features import LOSS
 from .base import STAGES, ctes, daily, load, query, reading, replay, site, table, weather
-from .c_scorecards import ACT, FIN, RAW, STAGE_SQL, bucketed
+from .c_scorecards import ACT, FIN, METRICS, RAW, STAGE_SQL, bucketed, m_sql
 
 
 def s(col, name=None):
@@ -181,6 +181,14 @@ def _(spark, d):
     return SR.overlapping_extracts([a, b], ["series"], "2024-01-05", "2024-01-20", ["t"]).select("series", s("DT"), "t")
 
 
+@query("src06_solar_csv", ctes("load") + """
+SELECT CAST(DT AS VARCHAR) AS DT, sum(MWH)/100 AS mw FROM v_load GROUP BY 1""", r6=["mw"])
+def _(spark, d):
+    root = shared_dir(spark)
+    load(spark, d).groupBy(F.col("DT").alias("IntervalStartDT")).agg((F.sum("MWH") / 100).alias("Forecast_MW")).write.option("header", "true").csv(root)
+    return SR.solar_csv(spark, root).select(s("DT"), F.col("Solar_Forecast_MW").alias("mw"))
+
+
 # ---- store --------------------------------------------------------------------------------------
 
 @query("snk01_run_append_and_read_back", ctes("load") + """
@@ -529,11 +537,14 @@ def _(spark, d):
     return RP.bias_summary(biased(spark, d)[1])
 
 
-@query("joi10_heat_analog_range_join", ctes("bt") + """,
+ANALOG_SQL = ctes("bt") + """,
 sc AS (SELECT DISTINCT series, make_date(CAST(origin_id/100 AS INT), CAST(origin_id%100 AS INT), 1) AS o, Hour, Month, Temperature_DailyMax AS t FROM v_bt WHERE Temperature_DailyMax >= 105 AND Hour BETWEEN 14 AND 20 AND Month IN (6,7,8,9)),
 sr AS (SELECT series, DT, arg_min(Hour, row_id) AS h, arg_min(Month, row_id) AS m, arg_min(Temperature_DailyMax, row_id) AS t, arg_min(Actual_MWH, row_id) AS a FROM v_bt WHERE Temperature_DailyMax >= 105 GROUP BY 1, 2),
 j AS (SELECT sc.*, count(*) FILTER (sr.m = sc.Month) AS n1, avg(a) FILTER (sr.m = sc.Month) AS v1, count(*) FILTER (sr.m IN (6,7,8,9)) AS n2, avg(a) FILTER (sr.m IN (6,7,8,9)) AS v2, count(*) AS n3, avg(a) AS v3 FROM sc JOIN sr ON sr.series = sc.series AND sr.h = sc.Hour AND sr.DT < sc.o AND abs(sr.t - sc.t) <= 3 GROUP BY ALL),
-k AS (SELECT *, CASE WHEN n1 >= 3 THEN v1 WHEN n2 >= 3 THEN v2 WHEN n3 >= 3 THEN v3 END AS v, CASE WHEN n1 >= 3 THEN 'same_month_multi_summer' WHEN n2 >= 3 THEN 'summer_months_multi_summer' WHEN n3 >= 3 THEN 'all_prior_same_hour_temp' END AS nm FROM j)
+k AS (SELECT *, CASE WHEN n1 >= 3 THEN v1 WHEN n2 >= 3 THEN v2 WHEN n3 >= 3 THEN v3 END AS v, CASE WHEN n1 >= 3 THEN 'same_month_multi_summer' WHEN n2 >= 3 THEN 'summer_months_multi_summer' WHEN n3 >= 3 THEN 'all_prior_same_hour_temp' END AS nm FROM j)""".replace("origin_id/100", "origin_id//100")
+
+
+@query("joi10_heat_analog_range_join", ANALOG_SQL + """
 SELECT row_id, coalesce(nm, 'no_pre_origin_match') AS src, CASE WHEN v IS NULL THEN 0 ELSE least(greatest((v - Raw_Forecast_MWH)*0.5, -12), 12) END AS corr FROM v_bt b LEFT JOIN k ON k.series = b.series AND k.Hour = b.Hour AND k.Month = b.Month AND k.t = b.Temperature_DailyMax AND k.o = make_date(CAST(b.origin_id/100 AS INT), CAST(b.origin_id%100 AS INT), 1)
 WHERE b.Temperature_DailyMax >= 105 AND b.Hour BETWEEN 14 AND 20 AND b.Month IN (6,7,8,9)""".replace("origin_id/100", "origin_id//100"), r6=["corr"])
 def _(spark, d):
@@ -546,7 +557,10 @@ def analogs(spark, d):
     return H.heat_analogs(b.withColumn("origin_dt", o), RAW, "origin_dt", first=["row_id"])
 
 
-@query("rep11_analog_detail_metrics")
+@query("rep11_analog_detail_metrics", ANALOG_SQL + """,
+z AS (SELECT b.*, coalesce(nm, 'no_pre_origin_match') AS src, Raw_Forecast_MWH + CASE WHEN v IS NULL THEN 0 ELSE least(greatest((v - Raw_Forecast_MWH)*0.5, -12), 12) END AS g FROM v_bt b LEFT JOIN k ON k.series = b.series AND k.Hour = b.Hour AND k.Month = b.Month AND k.t = b.Temperature_DailyMax AND k.o = make_date(CAST(b.origin_id//100 AS INT), CAST(b.origin_id%100 AS INT), 1)
+ WHERE b.Temperature_DailyMax >= 105 AND b.Hour BETWEEN 14 AND 20 AND b.Month IN (6,7,8,9)), u AS (SELECT 'raw' AS "Stage", src, Hour, Actual_MWH, Raw_Forecast_MWH AS f FROM z UNION ALL SELECT 'analog', src, Hour, Actual_MWH, g FROM z)
+SELECT "Stage", src AS "Heat_Analog_Source", Hour, """ + m_sql("f", p90=False) + " FROM u GROUP BY 1, 2, 3", r6=METRICS)
 def _(spark, d):
     a = analogs(spark, d).where("Heat_Analog_Scope_Flag = 1")
     return M.stage_metrics(a, {"raw": RAW, "analog": "Heat_Analog_Shadow_Forecast_MWH"}, ["Heat_Analog_Source", "Hour"], p90=False)

@@ -205,8 +205,8 @@ def _(spark, d):
 # ---- scenario frame -----------------------------------------------------------------------------
 
 @query("unc01_scenario_fan_out", ctes("weather") + """,
-sc AS (SELECT * FROM (VALUES ('warmer', 3.0, 0.0, 1.0), ('cooler', -3.0, 0.0, 1.0), ('cloudier_solar_loss', 0.0, 0.3, 0.65), ('clearer_high_solar', 0.0, -0.3, 1.15)) t(n, dt, dc, gm)),
-w AS (SELECT series, DT, n, TempF + dt AS t, CASE WHEN dc <> 0 OR gm <> 1 THEN least(greatest(coalesce(least(greatest(CloudCoverPct/100,0),1),0)+dc,0),1) ELSE coalesce(least(greatest(CloudCoverPct/100,0),1),0) END AS c, coalesce(GHI_Wm2,0)*gm AS g FROM v_weather, sc)
+sc AS (SELECT * FROM (VALUES ('warmer', 3.0, 0.0, 1.0), ('cooler', -3.0, 0.0, 1.0), ('cloudier_solar_loss', 0.0, 0.3, 0.65), ('clearer_high_solar', 0.0, -0.3, 1.15)) t(n, dtf, dc, gm)),
+w AS (SELECT series, DT, n, TempF + dtf AS t, CASE WHEN dc <> 0 OR gm <> 1 THEN least(greatest(coalesce(least(greatest(CloudCoverPct/100,0),1),0)+dc,0),1) ELSE coalesce(least(greatest(CloudCoverPct/100,0),1),0) END AS c, coalesce(GHI_Wm2,0)*gm AS g FROM v_weather, sc)
 SELECT series, CAST(DT AS VARCHAR) AS DT, n AS scenario, t, c, g, CASE WHEN t IS NULL THEN NULL ELSE greatest(t-65,0) END AS cdd, max(t) OVER (PARTITION BY series, n, CAST(DT AS DATE)) AS tmax FROM w""", r6=["t", "c", "g", "cdd", "tmax"])
 def _(spark, d):
     f = WF.add_weather_features(C.add_time_features(weather(spark, d)))
