@@ -156,16 +156,6 @@ def shadow_columns(df: DataFrame, correction: str, base: str, scopes: Mapping[st
     return out
 
 
-def expanding_folds(df: DataFrame, by: str, first: int, step: int) -> list[tuple[Column, Column]]:
-    """(train, score) conditions of an expanding walk: the distinct fold values are few and sorted."""
-    vals = [r[0] for r in df.select(by).distinct().orderBy(by).limit(10_000).collect()]
-    out = []
-    for i in range(first, len(vals), step):
-        block = vals[i:i + step]
-        out.append((c(by) < block[0], c(by).isin(*block)))
-    return out
-
-
 def cluster_sites(sites: DataFrame, k: int) -> DataFrame:
     """Geographic clusters of the sites."""
     asm = VectorAssembler(inputCols=["Latitude", "Longitude"], outputCol="_x")

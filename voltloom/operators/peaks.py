@@ -240,9 +240,10 @@ def apply_capture(df: DataFrame, keys: Sequence[str], lookup: DataFrame, base: s
     wd = clip(F.coalesce(c(warmer) - c(base), F.lit(0.0)), lo=0.0) if warmer else F.lit(0.0)
     top = F.max_by(F.struct("Hour", c(base).alias("peak"), "Month", "Forecast_Day", "MWH_SameHour7DayMean", "MWH_Lag24"), F.struct(c(base), early))
     d = df.where(live).groupBy(*keys).agg(top.alias("_t"), F.max("Temperature_DailyMax").alias("_temp"), F.max("DailyMaxTemp_Ramp_1Day").alias("_ramp"), F.max("CloudCover_Norm").alias("_cloud"), F.max(wd).alias("_wd"),
-                                          F.bool_or(strong if strong is not None else F.lit(False)).alias("_strong"))
+                                          F.bool_or(strong if strong is not None else F.lit(False)).alias("_strong"),
+                                          F.collect_set(F.when(c("Hour").isin(*hours), c("Hour"))).alias("_hours"))  # at most 24 values
     d = d.select(*keys, c("_t.Hour").alias("_hour"), c("_t.peak").alias("_peak"), c("_t.Month").alias("Month"), c("_t.Forecast_Day").alias("_fd"), c("_t.MWH_SameHour7DayMean").alias("_s7"), c("_t.MWH_Lag24").alias("_l24"),
-                 "_temp", "_ramp", "_wd", "_strong", capture_temp_bucket("_temp").alias("DailyMaxTempBucket"), capture_cloud_bucket("_cloud").alias("CloudCoverBucket"))
+                 "_temp", "_ramp", "_wd", "_strong", "_hours", capture_temp_bucket("_temp").alias("DailyMaxTempBucket"), capture_cloud_bucket("_cloud").alias("CloudCoverBucket"))
     d = d.withColumn("HorizonBucket", horizon_bucket("_fd", "capture"))
     d = first_match(d, lookup, CAPTURE_LEVELS, "hit", by, "_hit", "Capture_Level")
     learned = F.coalesce(c("_hit.PeakResidual"), F.lit(0.0))
@@ -261,14 +262,17 @@ def apply_capture(df: DataFrame, keys: Sequence[str], lookup: DataFrame, base: s
     amount = F.least(amount, F.when(c("_strong"), F.lit(float(strong_cap))).otherwise(F.lit(float(cap))))
     blocked = (learned < 0) if block_negative else F.lit(False)
     day = d.select(*keys, c("_hour").alias("_ph"), c("_peak").alias("_bp"), learned.alias("_lr"), "Capture_Level",
-                   F.when(blocked, "negative_learned_residual").when(thin, "insufficient_anchor_support").when(amount < min_abs, "below_min_correction").otherwise("applied").alias("_why"), amount.alias("_amt"))
+                   F.when(blocked, "negative_learned_residual").when(thin, "insufficient_anchor_support").when(amount < min_abs, "below_min_correction").otherwise("applied").alias("_why"), amount.alias("_amt"), "_hours")
     out = null_safe_join(df, day, keys)
     use = live & yes(c("_why") == "applied") & c("Hour").isin(*hours)
-    wt = F.exp(-0.5 * F.pow((c("Hour") - c("_ph")) / F.lit(max(float(spread), 1e-6)), F.lit(2.0)))
-    scaled = wt / F.max(F.when(use, wt)).over(Window.partitionBy(*keys))  # a day holds at most 24 rows
+    def bell(h: Column) -> Column:
+        return F.exp(-0.5 * F.pow((h - c("_ph")) / F.lit(max(float(spread), 1e-6)), F.lit(2.0)))
+
+    # the day's greatest weight comes from its set of live hours, so no window runs over the day's rows
+    scaled = bell(c("Hour")) / F.array_max(F.transform("_hours", bell))
     out = out.withColumn("Peak_Capture_MWH", F.when(use, c("_amt") * scaled).otherwise(0.0))
     return out.withColumns({"Peak_Capture_Source": F.when(live, F.coalesce(c("_why"), F.lit("out_of_scope"))).otherwise("out_of_scope"),
-                            "Peak_Capture_Forecast_MWH": clip(c(base) + c("Peak_Capture_MWH"), lo=0.0)}).drop("_ph", "_bp", "_lr", "_why", "_amt", "Capture_Level")
+                            "Peak_Capture_Forecast_MWH": clip(c(base) + c("Peak_Capture_MWH"), lo=0.0)}).drop("_ph", "_bp", "_lr", "_why", "_amt", "_hours", "Capture_Level")
 
 
 def targeted_rules(df: DataFrame, rules: Sequence[Mapping], correction: str, blocked: Column | None = None) -> DataFrame:

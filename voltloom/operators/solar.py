@@ -253,7 +253,9 @@ def quality_flags(df: DataFrame, actual: str, expected: str, ratio_limit: float,
     else:
         out, sus = out.withColumn("ActualReadCoverageRatio", F.lit(None).cast("double")), phys
     out = out.withColumn("ActualQualitySuspiciousHour", sus)
-    day = out.groupBy(*by, "_d").agg(F.count(F.when(c("ActualQualitySuspiciousHour"), 1)).alias("_bad"), *( [F.percentile("ActualReadCoverageRatio", 0.5).alias("_med")] if reads else []))
+    day = out.groupBy(*by, "_d").agg(F.count(F.when(c("ActualQualitySuspiciousHour"), 1)).alias("_bad"))
+    if reads is not None:
+        day = null_safe_join(day, group_quantiles(out, [*by, "_d"], "ActualReadCoverageRatio", {"_med": 0.5}), [*by, "_d"])
     bad = c("_bad") >= max(1, min_bad_hours)
     if reads is not None:
         bad = bad & F.coalesce(c("_med") <= read_limit, F.lit(False))

@@ -9,6 +9,7 @@ from ..core import keep_last
 from ..core.scratch import shared_dir
 from ..functions import buckets as B
 from ..operators import history as H
+from ..operators import lags as L
 from ..operators import metrics as M
 from ..operators import scorecards as SC
 from ..operators import training as TR
@@ -419,8 +420,7 @@ n AS (SELECT origin_id, series, DT, row_id, row_number() OVER (PARTITION BY orig
 SELECT origin_id, series, CAST(max(lead) AS BIGINT) AS n, CAST(max(CAST(floor((lead-1)/24) AS BIGINT)+1) AS BIGINT) AS days, sum(greatest(r,0)) AS under, sum(greatest(-r,0)) AS over FROM n GROUP BY 1, 2""", r4=["under", "over"])
 def _(spark, d):
     b = replay(spark, d, "origin_id", "series", "DT", "row_id", ACT, FIN)
-    w = Window.partitionBy("origin_id", "series").orderBy("DT", "row_id")
-    n = b.withColumn("lead", F.row_number().over(w)).withColumn("r", F.col(ACT) - F.col(FIN))
+    n = L.with_row_number(b, ["origin_id", "series"], "DT", 1, "lead", ["row_id"]).withColumn("r", F.col(ACT) - F.col(FIN))
     z = F.lit(0.0)
     return n.groupBy("origin_id", "series").agg(F.max("lead").cast("long").alias("n"), F.max(F.floor((F.col("lead") - 1) / 24) + 1).cast("long").alias("days"), F.sum(F.greatest("r", z)).alias("under"), F.sum(F.greatest(-F.col("r"), z)).alias("over"))
 
