@@ -348,7 +348,7 @@ AR_SQL = """ar0 AS (SELECT series, max(eh) AS m, arg_max(r, eh) AS latest FROM v
 ar2 AS (SELECT series, latest, count(*) FILTER (gap <= 1) AS np, coalesce(sum(p*r) FILTER (gap <= 1) / nullif(sum(p*p) FILTER (gap <= 1), 0), 0) AS raw FROM ar1 GROUP BY 1, 2),
 ars AS (SELECT series, np, latest, least(greatest(greatest(CASE WHEN np >= 24 THEN raw ELSE 0 END, 0) * np/(np+72.0), -0.4), 0.4) AS phi, greatest(CASE WHEN np >= 24 THEN raw ELSE 0 END, 0) AS phi_raw FROM ar2)"""
 DAY_SQL = """d0 AS (SELECT series, max(eh) AS m FROM v_rs GROUP BY 1), d1 AS (SELECT series, CAST(DT AS DATE) AS d, avg(r) AS mean, count(*) AS n FROM v_rs JOIN d0 USING (series) WHERE eh >= m - 168 GROUP BY 1, 2),
-d2 AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY d DESC) AS rk FROM d1 WHERE n >= 12), d3 AS (SELECT series, count(*) AS nd, sum(n) AS nh, arg_max(mean, d) AS lm, sum(mean*sqrt(n))/sum(sqrt(n)) AS rm FROM d2 WHERE rk <= 7 GROUP BY 1),
+d1b AS (SELECT *, bool_or(n >= 12) OVER (PARTITION BY series) AS any_ok FROM d1), d2 AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY d DESC) AS rk FROM d1b WHERE n >= 12 OR NOT any_ok), d3 AS (SELECT series, count(*) AS nd, sum(n) AS nh, arg_max(mean, d) AS lm, sum(mean*sqrt(n))/sum(sqrt(n)) AS rm FROM d2 WHERE rk <= 7 GROUP BY 1),
 ds AS (SELECT series, nd, nh, lm, rm, CASE WHEN lm*rm < 0 THEN 0 ELSE 0.65*lm+0.35*rm END AS sr, least(greatest(CASE WHEN lm*rm < 0 THEN 0 ELSE 0.65*lm+0.35*rm END * nd/(nd+6.0) * nh/(nh+96.0), -4), 4) AS st FROM d3 WHERE nd >= 2 AND nh >= 36)"""
 
 
