@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -10,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 _LOCAL: dict[str, str] = {}
 
 
+def _local_dir(app: str) -> str:
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; only a local session without one gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        base = _local_dir(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/voltloom-{uuid.uuid4().hex}"
 
 
