@@ -16,6 +16,7 @@ second attempt leaves at most a file that nobody names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -38,11 +39,15 @@ ENTRY = struct.Struct("<qQQQI")
 END = struct.Struct("<IQ8s")
 NULL_ID = -(2**63)
 END_ID = 1
-SHARD_CHARS = 64_000_000    # text in one shard on average
+END_BYTES = struct.pack("<I", END_ID)
 CACHE_CHUNKS = 200_000
+CACHE_PARTS = 300_000
 TOKENIZER = "word_bpe_49k.json"
+# Fixed value: the split of the tokenizers that chunk by chunk encoding holds for.
+WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#$%&*]*)")
 
 
 def filesystem(uri: str):
@@ -55,27 +60,57 @@ def filesystem(uri: str):
 class ChunkEncoder:
     """Ids of a text, chunk by chunk between white space.
 
-    The tokenizer drops white space and no piece or special token reaches over it, so
-    the ids of a text are those of its chunks; a chunk is encoded once while it is in
-    the bounded cache.
+    A tokenizer that splits at white space, drops it, ignores case and never joins
+    letters with other signs gives a text the ids of its chunks, and a chunk of Latin
+    letters with closing signs the ids of both parts.  The tokenizer file is asked
+    whether it is of that kind; for any other, whole texts are encoded.  Ids of chunks
+    and parts are remembered up to a bound and forgotten all at once.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task one core
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for text in texts:
-            chunks = _CHUNK.findall(text)
-            new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-            if len(self.known) + len(new) > CACHE_CHUNKS:
-                self.known.clear()
-                new = list(dict.fromkeys(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[c] = np.array(e.ids, "<u4")
-            yield np.concatenate([*map(self.known.__getitem__, chunks), np.array([END_ID], "<u4")])
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        self.by_chunk = (steps == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed"
+                         and split.get("pattern", {}).get("Regex") == WORD_SPLIT and not spec["post_processor"])
+        self.chunks: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.parts) > CACHE_PARTS:
+            self.parts.clear()
+        cut = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(c)) else (c,) for c in new]
+        missing = list({p for parts in cut for p in parts if p not in self.parts})
+        self.parts.update(zip(missing, self._coded(missing), strict=True))
+        self.chunks.update((c, b"".join(map(self.parts.__getitem__, parts))) for c, parts in zip(new, cut, strict=True))
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids of the text and the end id."""
+        if not self.by_chunk:
+            return self._coded([text])[0] + END_BYTES
+        chunks = _CHUNK.findall(text)
+        if len(self.chunks) > CACHE_CHUNKS:
+            self.chunks.clear()
+        if new := [c for c in set(chunks) if c not in self.chunks]:
+            self._learn(new)
+        return b"".join(map(self.chunks.__getitem__, chunks)) + END_BYTES
+
+
+_ENCODERS: dict[str, ChunkEncoder] = {}
+
+
+def encoder(tokenizer_path: str) -> ChunkEncoder:
+    """The worker process's encoder, so that later tasks find its memory filled."""
+    if tokenizer_path not in _ENCODERS:
+        _ENCODERS[tokenizer_path] = ChunkEncoder(tokenizer_path)
+    return _ENCODERS[tokenizer_path]
 
 
 class ShardWriter:
@@ -83,12 +118,12 @@ class ShardWriter:
         self.sink, self.at, self.table, self.n_ids = sink, 0, [], 0
         self.packer = zstandard.ZstdCompressor(level=3, write_checksum=True)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        frame = self.packer.compress(ids.tobytes())
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        frame = self.packer.compress(ids)
         self.sink.write(frame)
-        self.table.append(ENTRY.pack(NULL_ID if doc_id is None else doc_id, self.at, len(frame), len(ids), zlib.crc32(frame)))
+        self.table.append(ENTRY.pack(NULL_ID if doc_id is None else doc_id, self.at, len(frame), len(ids) // 4, zlib.crc32(frame)))
         self.at += len(frame)
-        self.n_ids += len(ids)
+        self.n_ids += len(ids) // 4
 
     def finish(self) -> None:
         entries = b"".join(self.table)
@@ -130,14 +165,14 @@ def _writer(folder: str, tokenizer_path: str) -> Callable[[Iterator[pa.RecordBat
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)
         store.create_dir(base, recursive=True)
-        encoder, name, out, sink, first, last = ChunkEncoder(tokenizer_path), uuid.uuid4().hex, None, None, None, None
+        coder, name, out, sink, first, last = encoder(tokenizer_path), uuid.uuid4().hex, None, None, None, None
         for b in batches:
             ids = b.column("doc_id").to_pylist()
-            for doc_id, coded in zip(ids, encoder.encode(t.as_py() or "" for t in b.column("text")), strict=True):
+            for doc_id, text in zip(ids, b.column("text"), strict=True):
                 if out is None:
                     sink = store.open_output_stream(f"{base}/.{name}")
                     out, first = ShardWriter(sink), doc_id
-                out.add(doc_id, coded)
+                out.add(doc_id, coder.encode(text.as_py() or ""))
             last = ids[-1] if ids else last
         if out is not None:
             out.finish()
@@ -182,7 +217,8 @@ def _digester(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 def read_digests(manifest: DataFrame, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document, read from the files, a task per few shards."""
-    spread = manifest.select("file", "start").repartition("file")
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given as a number, else so small a table becomes one task
+    spread = manifest.select("file", "start").repartition(tasks, "file")
     return spread.mapInArrow(_digester(folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
