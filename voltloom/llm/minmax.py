@@ -7,9 +7,10 @@ permutations).  Texts with equal shingle sets are one class before anything else
 exact copies never meet each other.  Classes that share a band are compared on their
 full sets:
 
-1. every class of a bucket against one leader of the bucket, in a few rounds with
-   different leaders, skipping classes already in the leader's component;
-2. then every pair of a bucket that still lies in two components.
+1. every class of a bucket against the bucket's leader, the class that shares most
+   buckets, then those outside the leader's component against a second leader;
+2. then the pairs of a bucket that still lie in two components, found by what they
+   share outside the leader's set (``_open_pairs``).
 
 So a bucket of near copies costs its size and not its square, yet no link that could
 join two components goes untested.  With ``BANDS`` bands of ``ROWS`` values a pair of
@@ -35,7 +36,6 @@ WIDTH = 5
 PERCENT = 75
 ROWS = 5
 BANDS = 50           # half from minima, half from maxima
-LEADER_ROUNDS = 2
 CACHE_WORDS = 300_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -134,6 +134,45 @@ def _sized(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _pair(met: DataFrame) -> DataFrame:
+    return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+
+
+def _several_roots(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of the groups whose members lie in more than one component."""
+    mixed = rows.groupBy(*keys).agg(F.min("root").alias("_r1"), F.max("root").alias("_r2")).where("_r1 < _r2").select(*keys)
+    return rows.join(mixed, keys, "left_semi")
+
+
+def _partner(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(*more, F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("pr"))
+
+
+def _open_pairs(members: DataFrame, leaders: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of a bucket in two components that could still be similar, found without listing the others.
+
+    With leader C of the bucket, a pair A, B either shares a shingle outside C, which a
+    join on such shingles finds, or A and B meet inside C only.  Then their common part
+    is at most the smaller of |A in C| and |B in C|, which is enough only for texts that
+    lie almost wholly inside a longer C; those few look for partners in their bucket.
+    """
+    mm = members.join(leaders, "key").where("node <> lead")
+    mm = materialise(_several_roots(mm, ["key"]))
+    met = mm.select("lead", "node", "n", "root").distinct()
+    met = met.join(sets.select("node", "items"), "node").join(sets.select(F.col("node").alias("lead"), F.col("items").alias("_c")), "lead")
+    met = materialise(met.select("lead", "node", "n", "root", F.size(F.array_intersect("items", "_c")).alias("inside"), F.array_except("items", "_c").alias("rest")))
+
+    apart = materialise(_several_roots(met.select("lead", "node", "n", "root", F.explode("rest").alias("x")), ["lead", "x"]))
+    outside = apart.join(_partner(apart, "lead", "x"), ["lead", "x"]).where((F.col("root") < F.col("pr")) & _sized("n", "pn"))
+
+    held = mm.join(met.select("lead", "node", "inside"), ["lead", "node"])
+    within = held.where((100 + PERCENT) * F.col("inside") >= 2 * PERCENT * F.col("n"))
+    other = held.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("pr"), F.col("inside").alias("pin"))
+    enough = (100 + PERCENT) * F.least("inside", "pin") >= PERCENT * (F.col("n") + F.col("pn"))
+    inner = within.join(other, "key").where((F.col("root") != F.col("pr")) & (F.col("n") <= F.col("pn")) & enough & _sized("n", "pn"))
+    return _pair(outside.select("node", "p")).unionByName(_pair(inner.select("node", "p"))).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_shingles, group_id, component_id, kept``, one row per row of ``docs``.
 
@@ -160,21 +199,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = texts.join(want, texts["doc_id"].eqNullSafe(want["_id"]) & (texts["text_hash"] == want["_h"])).select("node", "text")
     sets = materialise(texts.mapInArrow(_sets, "node bigint, items array<bigint>"))
 
+    # the text that shares most buckets is the likeliest centre of its group
+    degree = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("_m")), "key").groupBy("node").agg(F.sum("_m").alias("deg"))
+    members = materialise(members.join(degree, "node"))
+    central = F.struct("deg", (-F.col("node")).alias("_o"))
+
     no_pairs = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    tested, edges, roots = no_pairs, no_pairs, None
-    for k in range(LEADER_ROUNDS + 1):
+    tested, edges, roots, leaders = no_pairs, no_pairs, None, None
+    for k in range(3):
         m = members.withColumn("root", F.col("node")) if roots is None else (
             members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        if k < LEADER_ROUNDS:
-            order = F.col("node") if k == 0 else F.xxhash64("node", F.lit(k))
-            lead = m.groupBy("key").agg(F.min_by(F.struct("node", "n", "root"), order).alias("l")).select("key", F.col("l.node").alias("p"), F.col("l.n").alias("pn"), F.col("l.root").alias("pr"))
-            met = m.join(lead, "key").where((F.col("root") != F.col("pr")) & _sized("n", "pn"))
+        if k == 0:
+            leaders = materialise(m.groupBy("key").agg(F.max_by("node", central).alias("lead")))
+            lead = members.select("key", "node", "n").join(leaders, "key").where("node = lead").select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("node").alias("pr"))
+            pairs = _pair(m.join(lead, "key").where((F.col("root") != F.col("pr")) & _sized("n", "pn")))
+        elif k == 1:  # the likeliest centre among the texts outside the leader's component
+            of_lead = leaders.join(m.select("key", F.col("node").alias("lead"), F.col("root").alias("_lr")), ["key", "lead"])
+            m = materialise(m.join(of_lead.select("key", "_lr"), "key").where(F.col("root") != F.col("_lr")))
+            lead = m.groupBy("key").agg(F.max_by(F.struct("node", "n", "root"), central).alias("l")).select("key", F.col("l.node").alias("p"), F.col("l.n").alias("pn"), F.col("l.root").alias("pr"))
+            pairs = _pair(m.join(lead, "key").where((F.col("root") != F.col("pr")) & _sized("n", "pn")))
         else:
-            split = m.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 < r2").select("key")
-            m = materialise(m.join(split, "key", "left_semi"))
-            other = m.select("key", F.col("node").alias("p"), F.col("n").alias("pn"), F.col("root").alias("pr"))
-            met = m.join(other, "key").where((F.col("root") < F.col("pr")) & _sized("n", "pn"))
-        pairs = met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+            pairs = _open_pairs(m.select("key", "node", "n", "root"), leaders, sets)
         pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         new = materialise(_linked(pairs, sets).distinct())
