@@ -46,15 +46,20 @@ def _covered(starts: Column) -> Column:
         lambda a: a["n"])
 
 
-def _repeat_words(grams: Column, again: Column) -> Column:
-    """Words inside windows found twice or more; ``again`` holds the distinct repeated windows."""
-    looked_up = F.filter(F.sequence(F.lit(0), F.size(grams) - 1), lambda i: F.array_contains(again, F.get(grams, i)))
-    pairs = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    in_sets = F.filter(pairs, lambda p, k: (p["g"] == F.get(pairs, k - 1)["g"]) | (p["g"] == F.get(pairs, k + 1)["g"]))
-    in_order = F.sort_array(F.transform(in_sets, lambda p: p["i"]))
-    return (F.when(F.size(again) == 0, F.lit(0).cast("long"))
-            .when(F.size(again) <= SMALL_SET, _covered(looked_up))
-            .otherwise(_covered(in_order)))
+def _with_repeat_words(rows: DataFrame) -> DataFrame:
+    """Add ``n_repeat_words`` from the window hashes ``_g``.
+
+    Every array a lambda looks into is a column of its own, computed once a row.
+    """
+    ordered = rows.withColumn("_o", F.sort_array("_g"))
+    again = ordered.withColumn("_a", F.array_distinct(F.filter("_o", lambda g, i: g == F.get("_o", i - 1)))).drop("_o")
+    many = F.size("_a") > SMALL_SET
+    placed = again.withColumn("_p", F.when(many, F.array_sort(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
+    starts = F.when(many, F.sort_array(F.transform(
+        F.filter("_p", lambda p, k: (p["g"] == F.get("_p", k - 1)["g"]) | (p["g"] == F.get("_p", k + 1)["g"])), lambda p: p["i"])))
+    few = F.filter(F.transform("_g", lambda g, i: F.when(F.array_contains("_a", g), i)), lambda i: i.isNotNull())
+    starts = F.when(F.size("_a") == 0, F.array().cast("array<int>")).when(many, starts).otherwise(few)
+    return placed.withColumn("_at", starts).withColumn("n_repeat_words", _covered(F.col("_at"))).drop("_g", "_a", "_p", "_at")
 
 
 def measure(docs: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
@@ -81,9 +86,7 @@ def measure(docs: DataFrame, text: str = "text", stratum: str = "lang") -> DataF
             F.sequence(F.lit(0), F.size("_w") - 3),
             lambda i: F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2))))
         .otherwise(F.array().cast("array<bigint>")).alias("_g"))
-    ordered = grams.withColumn("_o", F.sort_array("_g"))
-    again = ordered.withColumn("_a", F.array_distinct(F.filter("_o", lambda g, i: g == F.get("_o", i - 1)))).drop("_o")
-    out = again.withColumn("n_repeat_words", _repeat_words(F.col("_g"), F.col("_a"))).drop("_g", "_a")
+    out = _with_repeat_words(grams)
     share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     return out.withColumns({
         "symbol_share": share("n_symbols", "word_chars"),
