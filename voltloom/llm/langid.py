@@ -52,29 +52,32 @@ SCRIPTS = {
 }
 
 
-def script_of(word: str) -> str:
-    """Script of the word's first letter that lies in a known range."""
-    for c in word:
+class _Scripts(dict):
+    """First letter to script."""
+
+    def __missing__(self, c: str) -> str:
         p = ord(c)
-        for name, ranges in SCRIPTS.items():
-            if any(a <= p <= b for a, b in ranges):
-                return name
-    return "other"
+        self[c] = next((name for name, ranges in SCRIPTS.items() if any(a <= p <= b for a, b in ranges)), "other")
+        return self[c]
 
 
 def letters(word: str) -> str:
-    return "".join(filter(str.isalpha, word)).lower()
+    return word.lower() if word.isalpha() else "".join(filter(str.isalpha, word)).lower()
 
 
 class Model:
     """Languages with their trigram and word log-probabilities and their scripts."""
 
     def __init__(self, languages: list[str], grams: dict, whole: dict, gram_floor: list[float], scripts: dict):
+        n = max(len(languages), 1)
         self.languages, self.scripts = languages, scripts
-        n = len(languages)
-        self.floor = np.array(gram_floor) if n else np.zeros(0)
-        self.grams = {g: self._row(p, self.floor) for g, p in grams.items()}
-        self.whole = {w: self._row(p, np.full(n, math.log(1e-6))) for w, p in whole.items()}
+        floor = np.array(gram_floor) if languages else np.zeros(1)
+        self.gram_at = {g: k for k, g in enumerate(grams, 1)}  # row 0: a trigram never seen
+        self.gram_rows = np.vstack([floor, *(self._row(p, floor) for p in grams.values())]).astype(np.float32)
+        rare = np.full(n, math.log(1e-6))
+        self.word_at = {w: k for k, w in enumerate(whole, 1)}  # row 0: no whole-word score
+        rows = [self._row(p, rare) for p in whole.values()]
+        self.word_rows = np.vstack([np.zeros(n), *(WORD_GAIN * (r - r.max()) for r in rows)]).astype(np.float32)
 
     @staticmethod
     def _row(known: dict[int, float], rest: np.ndarray) -> np.ndarray:
@@ -83,23 +86,25 @@ class Model:
             row[k] = p
         return row
 
-    def score(self, chunk: str) -> tuple[np.ndarray, int] | None:
-        """Score per language and number of letters of a word; None without a letter."""
-        w = letters(chunk)
-        if not w or not self.languages:
-            return None
-        padded = f"^{w}$"
-        s = np.zeros(len(self.languages))
-        for i in range(len(padded) - 2):
-            s += self.grams.get(padded[i:i + 3], self.floor)
-        s -= s.max()
-        if w in self.whole:
-            known = self.whole[w]
-            s += WORD_GAIN * (known - known.max())
-        allowed = self.scripts.get(script_of(w))
-        if allowed is not None:
-            s = np.where(allowed, s, -1e4)
-        return s, len(w)
+    def scores(self, found: list[str]) -> np.ndarray:
+        """(words x languages) scores of non-empty letters-only words."""
+        at, first, n = [], [], 0
+        for w in found:
+            p = f"^{w}$"
+            first.append(n)
+            at += [self.gram_at.get(p[i:i + 3], 0) for i in range(len(w))]
+            n += len(w)
+        s = np.add.reduceat(self.gram_rows[at], first, axis=0)
+        s -= s.max(axis=1, keepdims=True)
+        s += self.word_rows[[self.word_at.get(w, 0) for w in found]]
+        script = _Scripts()
+        group: dict[str, list[int]] = {}
+        for k, w in enumerate(found):
+            group.setdefault(script[w[0]], []).append(k)
+        for name, rows in group.items():
+            if name in self.scripts:
+                s[np.ix_(rows, ~self.scripts[name])] = -1e4
+        return s
 
 
 def label_batch(lengths: list[int], scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -113,7 +118,7 @@ def label_batch(lengths: list[int], scores: np.ndarray, switch: float = SWITCH)
     size = np.asarray(lengths)[order]
     start = np.concatenate([[0], np.cumsum(lengths)[:-1]])[order] if len(lengths) else np.empty(0, np.int64)
     stay, best = np.empty((total, n_lang), bool), np.empty(total, np.int64)
-    v = np.zeros((len(size), n_lang))
+    v = np.zeros((len(size), n_lang), np.float32)
     live = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")  # texts with a word t
     for t, m in enumerate(live):
         at = start[:m] + t
@@ -176,36 +181,45 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(languages, grams, whole, floor, scripts)
 
 
-class _Chunks(dict):
-    """Chunk to its row in a growing score table."""
+class _Chunks:
+    """Chunk to its row in a growing score table; chunks with the same letters share a row, -1 has none."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.rows, self.sizes = model, [], []
-
-    def __missing__(self, chunk: str) -> int:
-        got = self.model.score(chunk)
-        k = -1
-        if got:
-            k = len(self.rows)
-            self.rows.append(got[0])
-            self.sizes.append(got[1])
-        self[chunk] = k
-        return k
+        self.model = model
+        self.row_of: dict[str, int] = {}
+        self.letters_at: dict[str, int] = {}
+        self.rows, self.sizes = np.empty((0, max(len(model.languages), 1)), np.float32), np.empty(0, np.int64)
+
+    def learn(self, chunks: set[str]) -> None:
+        new: list[str] = []
+        for c in chunks:
+            w = letters(c)
+            if not w:
+                self.row_of[c] = -1
+                continue
+            k = self.letters_at.get(w)
+            if k is None:
+                k = self.letters_at[w] = len(self.sizes) + len(new)
+                new.append(w)
+            self.row_of[c] = k
+        if new:
+            self.rows = np.vstack([self.rows, self.model.scores(new)])
+            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, new), np.int64, len(new))])
 
 
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
-BATCH_WORDS = 1_000_000
+BATCH_CHARS = 5_000_000
 
 
 def _labelled(texts: list[str], chunks: _Chunks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(labels, letters) of the words with a letter, text by text."""
-    ids = [np.fromiter(map(chunks.__getitem__, _CHUNK.findall(t)), np.int64) for t in texts]
+    cut = [_CHUNK.findall(t) for t in texts]
+    chunks.learn({c for found in cut for c in found if c not in chunks.row_of})
+    ids = [np.fromiter(map(chunks.row_of.__getitem__, found), np.int64, len(found)) for found in cut]
     ids = [i[i >= 0] for i in ids]
     flat = np.concatenate(ids) if ids else np.empty(0, np.int64)
-    rows = np.array(chunks.rows).reshape(-1, max(len(chunks.model.languages), 1))
-    sizes = np.array(chunks.sizes, np.int64)
-    labels = label_batch([len(i) for i in ids], rows[flat]) if len(flat) else flat
+    sizes = chunks.sizes
+    labels = label_batch([len(i) for i in ids], chunks.rows[flat]) if len(flat) else flat
     at = 0
     for i in ids:
         yield labels[at:at + len(i)], sizes[i] if len(i) else i
@@ -227,7 +241,7 @@ def predictor(model: Model, spans: bool = False):
         for t in column:
             held.append(t.as_py() or "")
             n += len(held[-1])
-            if n >= 5 * BATCH_WORDS:
+            if n * max(len(names), 4) >= 4 * BATCH_CHARS:
                 yield held
                 held, n = [], 0
         if held:
@@ -238,7 +252,7 @@ def predictor(model: Model, spans: bool = False):
         for b in batches:
             lang, score, runs = [], [], []
             for texts in groups(b.column("text")):
-                if len(chunks) > CACHE_WORDS:
+                if len(chunks.row_of) > CACHE_WORDS:
                     chunks = _Chunks(model)
                 for label, size in _labelled(texts, chunks):
                     k, s = judge(label, size)
