@@ -40,8 +40,8 @@ END = struct.Struct("<IQ8s")
 NULL_ID = -(2**63)
 END_ID = 1
 END_BYTES = struct.pack("<I", END_ID)
-CACHE_CHUNKS = 200_000
-CACHE_PARTS = 300_000
+CACHE_CHUNKS = 400_000
+CACHE_PARTS = 800_000
 TOKENIZER = "word_bpe_49k.json"
 # Fixed value: the split of the tokenizers that chunk by chunk encoding holds for.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -74,9 +74,10 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         spec = json.loads(self.tokenizer.to_str())
         steps = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        split, *after = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.by_chunk = (steps == ["NFC", "Replace", "Lowercase"] and split.get("behavior") == "Removed"
-                         and split.get("pattern", {}).get("Regex") == WORD_SPLIT and not spec["post_processor"])
+                         and split.get("pattern", {}).get("Regex") == WORD_SPLIT and [a.get("type") for a in after] == ["ByteLevel"]
+                         and not after[0].get("add_prefix_space") and not spec["post_processor"])
         self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -87,8 +88,11 @@ class ChunkEncoder:
         if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
         cut = [(m[1].lower(), m[2]) if (m := _PLAIN.fullmatch(c)) else (c,) for c in new]
-        missing = list({p for parts in cut for p in parts if p not in self.parts})
-        self.parts.update(zip(missing, self._coded(missing), strict=True))
+        missing = {p for parts in cut for p in parts if p not in self.parts}
+        plain = [p for p in missing if p.isascii() and p.islower() and p.isalpha()]  # one piece as it stands: straight to the model
+        self.parts.update((p, np.array([t.id for t in self.tokenizer.model.tokenize(p)], "<u4").tobytes()) for p in plain)
+        rest = list(missing.difference(plain))
+        self.parts.update(zip(rest, self._coded(rest), strict=True))
         self.chunks.update((c, b"".join(map(self.parts.__getitem__, parts))) for c, parts in zip(new, cut, strict=True))
 
     def encode(self, text: str) -> bytes:
