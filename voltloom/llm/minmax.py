@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from voltloom.core.scratch import materialise
 from voltloom.llm.base import query, table
@@ -152,7 +153,8 @@ def _open_pairs(members: DataFrame, leaders: DataFrame, sets: DataFrame) -> Data
     """Pairs of a bucket in two components that could still be similar, found without listing the others.
 
     With leader C of the bucket, a pair A, B either shares a shingle outside C, which a
-    join on such shingles finds, or A and B meet inside C only.  Then their common part
+    join on the rarest such shingles finds (as many as the size of the sets asks for),
+    or A and B meet inside C only.  Then their common part
     is at most the smaller of |A in C| and |B in C|, which is enough only for texts that
     lie almost wholly inside a longer C; those few look for partners in their bucket.
     """
@@ -162,7 +164,15 @@ def _open_pairs(members: DataFrame, leaders: DataFrame, sets: DataFrame) -> Data
     met = met.join(sets.select("node", "items"), "node").join(sets.select(F.col("node").alias("lead"), F.col("items").alias("_c")), "lead")
     met = materialise(met.select("lead", "node", "n", "root", F.size(F.array_intersect("items", "_c")).alias("inside"), F.array_except("items", "_c").alias("rest")))
 
-    apart = materialise(_several_roots(met.select("lead", "node", "n", "root", F.explode("rest").alias("x")), ["lead", "x"]))
+    # of the shingles outside C a pair needs so many in common that one lies among the rarest |rest| - need + 1 of both
+    least = met.groupBy("lead").agg(F.min("n").alias("_min"))
+    smallest = F.greatest(F.ceil(F.col("n") * PERCENT / 100), F.col("_min"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("n") + smallest) * PERCENT / (100 + PERCENT)) - F.col("inside"))
+    held_x = met.join(least, "lead").where(F.size("rest") >= need).select("lead", "node", "n", "root", (F.size("rest") - need + 1).alias("first"), F.explode("rest").alias("x"))
+    held_x = held_x.join(held_x.groupBy("lead", "x").agg(F.count(F.lit(1)).alias("_f")), ["lead", "x"])
+    rank = F.row_number().over(Window.partitionBy("lead", "node").orderBy("_f", "x"))  # one text's shingles
+    rare = held_x.withColumn("_k", rank).where(F.col("_k") <= F.col("first")).select("lead", "x", "node", "n", "root")
+    apart = materialise(_several_roots(rare, ["lead", "x"]))
     outside = apart.join(_partner(apart, "lead", "x"), ["lead", "x"]).where((F.col("root") < F.col("pr")) & _sized("n", "pn"))
 
     held = mm.join(met.select("lead", "node", "inside"), ["lead", "node"])
