@@ -11,7 +11,7 @@ many captures a domain has; the result comes back by an equi-join on (pattern, d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,18 +22,18 @@ from voltloom.llm.base import query, table
 _PARTS = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
 
 
-def _keys(url: Column, depth: int) -> Column:
-    """Every pattern that covers a URL: its domains, and the host with up to ``depth`` path segments."""
-    host = F.lower(F.regexp_extract(url, _PARTS, 1))
-    path = F.array_remove(F.split(F.regexp_extract(url, _PARTS, 2), "/", -1), "")
-    labels = F.split(host, r"\.", -1)
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    out = F.when(host != "", domains)
+def _with_patterns(captures: DataFrame, depth: int) -> DataFrame:
+    """Each capture with every pattern that covers its URL: its domains, and the host with up to ``depth`` path segments."""
+    cut = captures.withColumns({"_h": F.lower(F.regexp_extract("url", _PARTS, 1)), "_q": F.regexp_extract("url", _PARTS, 2)}).where("_h <> ''")
+    cut = cut.withColumn("_l", F.split("_h", r"\.", -1))
     if depth:
-        deep = F.least(F.lit(depth), F.size(path))
-        paths = F.transform(F.when(deep >= 1, F.sequence(F.lit(1), deep)), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(path, 1, i), "/")))
-        out = F.when(host != "", F.concat(domains, F.coalesce(paths, F.array().cast("array<string>"))))
-    return out
+        cut = cut.withColumn("_s", F.slice(F.array_remove(F.split("_q", "/", -1), ""), 1, depth))
+    domains = F.transform(F.sequence(F.lit(1), F.size("_l")), lambda i: F.array_join(F.slice("_l", i, F.size("_l")), "."))
+    patterns = domains
+    if depth:
+        paths = F.transform("_s", lambda x, i: F.concat("_h", F.lit("/"), F.array_join(F.slice("_s", 1, i + 1), "/")))
+        patterns = F.concat(domains, paths)
+    return cut.select("page_id", "url", "fetched", F.explode(patterns).alias("pattern"))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     depth = spans.agg(F.max(F.size(F.split("pattern", "/", -1)) - 1)).first()[0] or 0
     cap = captures.select("page_id", "url", F.to_date("fetched").alias("fetched"))
     listed = spans.select("list", "pattern").distinct()
-    pairs = cap.distinct().select("page_id", "url", "fetched", F.explode(_keys(F.col("url"), depth)).alias("pattern")).where("fetched IS NOT NULL")
+    pairs = _with_patterns(cap.where("fetched IS NOT NULL").distinct(), depth)
     pairs = materialise(pairs.join(listed.select("pattern").distinct(), "pattern", "left_semi"))
 
     asked = pairs.select("pattern", F.col("fetched").alias("day")).distinct().join(listed, "pattern").select("list", "pattern", "day", F.lit(1).alias("side"), F.lit(None).cast("boolean").alias("active"))
