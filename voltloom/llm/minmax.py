@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from voltloom.core.scratch import materialise
-from voltloom.llm.base import query, table
+from voltloom.llm.base import packed, query, table
 from voltloom.llm.graph import components
 
 WIDTH = 5
@@ -253,11 +253,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     live = v.where(F.col("kept") & (F.col("n_shingles") > 0)).groupBy("group_id").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("r"), F.count(F.lit(1)).alias("copies"))
     live = materialise(live.select(F.col("r.doc_id").alias("_id"), F.col("r.text_hash").alias("_h"), "copies"))
-    t = docs.withColumn("_x", F.xxhash64("text")).withColumn("_none", F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0)
-    mine = t.where("NOT _none").join(live, t["doc_id"].eqNullSafe(live["_id"]) & (t["_x"] == live["_h"]))
-    once = mine.where("copies = 1").select(*docs.columns)
-    again = mine.where("copies > 1").dropDuplicates(["_id", "_h"]).select(*docs.columns)
-    return once.unionByName(again).unionByName(t.where("_none").select(*docs.columns))
+    blank = F.coalesce(F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")), F.lit(0)) == 0
+    t = packed(docs, "doc_id", "text").select("doc", "doc_id", F.xxhash64("text").alias("text_hash"), blank.alias("blank"))
+    mine = t.where("NOT blank").join(live, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")))
+    once = mine.where("copies = 1").select("doc.*")
+    again = mine.where("copies > 1").dropDuplicates(["_id", "_h"]).select("doc.*")
+    return once.unionByName(again).unionByName(t.where("blank").select("doc.*"))
 
 
 SQL = r"""
