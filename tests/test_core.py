@@ -134,3 +134,20 @@ def test_no_global_window_in_flagship_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert F is not None
+
+
+def test_rows_before_reach_across_any_gap(spark):
+    import datetime as dt
+
+    from voltloom.core import epoch_hour, rows_before
+    from voltloom.operators.reports import serial_dependence
+
+    jan, jun = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
+    at = [jan + dt.timedelta(hours=i) for i in range(5)] + [jun + dt.timedelta(hours=i) for i in range(5)]
+    v = [float(x * x % 17) for x in range(10)]
+    df = spark.createDataFrame([("a", t, x) for t, x in zip(at, v, strict=True)] + [(None, jan, 1.0)], "series string, DT timestamp, v double")
+    for size in (1, 3, 2160):
+        got = {r["DT"]: (r["_before1"], r["_before2"]) for r in rows_before(df, ["series"], epoch_hour("DT"), size, F.col("v"), 2, "DT").where("series = 'a'").collect()}
+        assert [got[t] for t in at] == list(zip([None, *v[:-1]], [None, None, *v[:-2]], strict=True))
+    r = serial_dependence(df.where("series = 'a'"), "v", ["series"]).first()
+    assert abs(r["dw"] - sum((b - a) ** 2 for a, b in zip(v, v[1:], strict=False)) / sum(x * x for x in v)) < 1e-12

@@ -95,3 +95,28 @@ def asof_backward_unbounded(left: DataFrame, right: DataFrame, keys: Sequence[st
     out = seeded.withColumn("_hit", F.last("_pay", ignorenulls=True).over(w)).where("_side = 1")
     return out.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in carry],
                       *[F.col(f"_hit.{c}").alias(c) for c in (*payload, "_rt")])
+
+
+def rows_before(df: DataFrame, keys: Sequence[str], t: Column, size: int, value: Column, n: int, *order: Column | str) -> DataFrame:
+    """Add ``_before1`` .. ``_before<n>``: ``value`` of the rows before by time, however old; null where there is none.
+
+    Inside a chunk they are plain lags; the first rows of a chunk take what is missing
+    from the last ``n`` rows of the chunks before.  Only those ends are windowed by key,
+    at most ``n`` rows a chunk.
+    """
+    ch = chunked(df, t, size).withColumn("_v", F.struct(value.alias("v")))
+    inside = chunk_window(keys, *order)
+    latest = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(T_COL), *[F.desc(o) for o in order])
+    ends = ch.withColumn("_e", F.row_number().over(latest)).where(F.col("_e") <= n)
+    ends = ends.groupBy(*keys, CHUNK).agg(F.sort_array(F.collect_list(F.struct((-F.col("_e")).alias("at"), "_v"))).alias("_ends"))
+    by = Window.partitionBy(*keys).orderBy(CHUNK)
+    back = F.flatten(F.collect_list("_ends").over(by.rowsBetween(-n, -1)))
+    ends = ends.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(CHUNK).alias("_kc"), back.alias("_back"))
+    same = F.col(CHUNK) == F.col("_kc")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    j = ch.join(ends, same).drop(*[f"_k{i}" for i in range(len(keys))], "_kc").withColumn("_rn", F.row_number().over(inside))
+    for k in range(1, n + 1):
+        carried = F.try_element_at("_back", -(F.lit(k + 1) - F.col("_rn")))["_v"]
+        j = j.withColumn(f"_before{k}", F.when(F.col("_rn") > k, F.lag("_v", k).over(inside)).otherwise(carried)["v"])
+    return j.drop(CHUNK, T_COL, "_v", "_back", "_rn")

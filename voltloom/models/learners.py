@@ -123,7 +123,10 @@ class ResidualLearner:
     event: Fitted | None
 
 
-def fit_two_stage(df: DataFrame, features: Sequence[str], residual: str, event: Column, min_event_rows: int = 50, iters: int = 10, depth: int = 4) -> ResidualLearner:
+def fit_two_stage(df: DataFrame, features: Sequence[str], residual: str, event: Column, min_event_rows: int = 48, iters: int = 10, depth: int = 4, min_rows: int = 336) -> ResidualLearner | None:
+    """None below ``min_rows`` rows with a residual, no event model below ``min_event_rows`` event rows."""
+    if df.where(c(residual).isNotNull()).limit(min_rows).count() < min_rows:
+        return None
     g = fit(df, features, residual, loss="absolute", iters=iters, depth=depth, prediction="_g")
     left = g.score(df.where(event & c(residual).isNotNull())).withColumn("_left", c(residual) - c("_g")).drop("_g")
     if left.limit(min_event_rows).count() < min_event_rows:

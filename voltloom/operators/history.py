@@ -220,7 +220,8 @@ def heat_analogs(df: DataFrame, base: str, origin: str, keys: Sequence[str] = ("
                  hours: Sequence[int] = tuple(range(14, 21)), months: Sequence[int] = (6, 7, 8, 9), actual: str = "Actual_MWH", first: Sequence[str] = ()) -> DataFrame:
     """Blend hot peak rows toward the mean of earlier hot hours with a similar daily maximum.
 
-    The source holds one hot row per (key, time); both sides are reduced to the
+    The source holds one hot row per (key, time), the first by ``first`` (by default by
+    temperature and value, so the choice never depends on chance); both sides are reduced to the
     distinct (origin, hour, month, temperature) targets and the hot source rows
     of the same hour and whole-degree band before they meet, so the work is
     bounded by calendar hours, not by input rows.
@@ -228,7 +229,7 @@ def heat_analogs(df: DataFrame, base: str, origin: str, keys: Sequence[str] = ("
     t = c("Temperature_DailyMax")
     scope = (t >= min_temp) & c("Hour").isin(*hours) & c("Month").isin(*months) & c(base).isNotNull()
     src = df.where((t >= min_temp) & c(actual).isNotNull() & c("Hour").isNotNull())
-    src = src.groupBy(*keys, "DT").agg(F.min_by(F.struct("Hour", "Month", t.alias("t"), c(actual).alias("a")), F.struct(*first) if first else F.lit(1)).alias("_s"))
+    src = src.groupBy(*keys, "DT").agg(F.min_by(F.struct("Hour", "Month", t.alias("t"), c(actual).alias("a")), F.struct(*(first or (t, c(actual))))).alias("_s"))
     width = max(window, 0.5)
     band = F.floor(c("_s.t") / width)
     src = src.select(*keys, c("DT").alias("_sd"), c("_s.Hour").alias("Hour"), c("_s.Month").alias("_sm"), c("_s.t").alias("_st"), c("_s.a").alias("_sa"), F.explode(F.array(band - 1, band, band + 1)).alias("_band"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import chunk_window, chunked, epoch_hour, epoch_second, group_quantiles, null_safe_join, own_rows
+from ..core import epoch_hour, epoch_second, group_quantiles, null_safe_join, rows_before
 from ..functions.weather import clip
 from .metrics import ACTUAL
 
@@ -57,10 +57,9 @@ def dynamic_bias(future: DataFrame, recent: DataFrame, keys: Sequence[str] = ("s
     return j.withColumn("TempF", c("TempF") + F.coalesce(clip("_m", -cap, cap) * fade, F.lit(0.0))).drop("_m", "_t0")
 
 
-def serial_dependence(df: DataFrame, value: str, keys: Sequence[str], chunk_hours: int = 2160, halo_hours: int = 720) -> DataFrame:
-    """Lag-1 correlation and the sum of squared steps over the sum of squares, by row order."""
-    ch = chunked(df, epoch_hour("DT"), chunk_hours, back=halo_hours)
-    p = own_rows(ch.withColumn("_p", F.lag(value).over(chunk_window(keys))), chunk_hours)
+def serial_dependence(df: DataFrame, value: str, keys: Sequence[str], chunk_hours: int = 2160) -> DataFrame:
+    """Lag-1 correlation and the sum of squared steps over the sum of squares, by row order across gaps of any length."""
+    p = rows_before(df, keys, epoch_hour("DT"), chunk_hours, c(value), 1, "DT").withColumnRenamed("_before1", "_p")
     v = c(value)
     return p.groupBy(*keys).agg(F.corr(value, "_p").alias("acf1"), (F.sum((v - c("_p")) * (v - c("_p"))) / F.sum(v * v)).alias("dw"))
 

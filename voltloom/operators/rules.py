@@ -111,7 +111,7 @@ def apply_guard(df: DataFrame, rules: Sequence[dict], forecast: str, total_cap:
     total = F.least(F.greatest(F.col("_state.total"), -cap), cap)
     out = s.withColumns({
         "Pre_Focused_Guard_Forecast_MWH": F.col(forecast), "Focused_Scorecard_Guard_MWH": total,
-        "Focused_Scorecard_Guard_Source": F.when(F.col("_state.names") != "", F.substring("_state.names", 2, 100000)).otherwise("none"),
+        "Focused_Scorecard_Guard_Source": F.when(F.col("_state.names") != "", F.expr("substring(_state.names, 2)")).otherwise("none"),
     })
     g = F.col("Focused_Scorecard_Guard_MWH")
     out = out.withColumns({"Focused_Guard_Applied_Flag": (g != 0.0).cast("int"),

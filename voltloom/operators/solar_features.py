@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import chunk_window, chunked, ensure_columns, epoch_hour, own_rows, safe_div
+from ..core import ensure_columns, epoch_hour, rows_before, safe_div
 from ..functions.weather import clip, solar_hour_shape, solar_season_factor
 
 CAPACITY = ("Nameplate_MW", "Capacity_Ratio_To_Current", "Impact_Cap_MW")
@@ -88,14 +88,9 @@ def add_solar_features(df: DataFrame, capacity: DataFrame, explicit: DataFrame |
 
 
 def add_row_ramps(df: DataFrame, keys: Sequence[str], chunk_hours: int) -> DataFrame:
-    """Ramps against the one and two rows before.
-
-    Rows are hourly with gaps; the halo of 30 days covers any gap up to that
-    length, beyond which the row before counts as missing.
-    """
-    ch = chunked(df, epoch_hour("DT"), chunk_hours, back=24 * 30)
-    w = chunk_window(keys)
+    """Ramps against the one and two rows before, however old; without one the ramp is 0."""
     p = F.col("BTM_Solar_Proxy_MW")
-    d1, d2 = p - F.lag(p, 1).over(w), p - F.lag(p, 2).over(w)
+    j = rows_before(df, keys, epoch_hour("DT"), chunk_hours, p, 2, "DT")
+    d1, d2 = p - F.col("_before1"), p - F.col("_before2")
     z = lambda x: F.greatest(F.coalesce(x, F.lit(0.0)), F.lit(0.0))
-    return own_rows(ch.withColumns({"Solar_Ramp_Down_1hr": z(-d1), "Solar_Ramp_Down_2hr": z(-d2), "Solar_Ramp_Up_1hr": z(d1)}), chunk_hours)
+    return j.withColumns({"Solar_Ramp_Down_1hr": z(-d1), "Solar_Ramp_Down_2hr": z(-d2), "Solar_Ramp_Up_1hr": z(d1)}).drop("_before1", "_before2")

@@ -267,3 +267,12 @@ def hot_streaks(daily: DataFrame, threshold: float, keys: Sequence[str] = ("seri
         F.min("Date").alias("Start"), F.max("Date").alias("End"), F.count("*").alias("Length_Days"),
         F.max("Temperature_DailyMax").alias("Peak_Temp")).drop("_island")
 
+
+# First day count of each depth bucket.
+DEPTH_BUCKETS = {"0": 0, "1-3": 1, "4-7": 4, "8-12": 8, "13-18": 13, "19+": 19}
+
+
+def depth_bucket(days: Column) -> Column:
+    """Bucket of a run length in days; null counts as 0."""
+    n = F.coalesce(days, F.lit(0))
+    return F.coalesce(*[F.when(n >= first, F.lit(name)) for name, first in sorted(DEPTH_BUCKETS.items(), key=lambda x: -x[1])])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import null_safe_join
 from ..functions import calendar as C
 from ..operators import climatology as CL
 from ..operators import exclusions as X
@@ -137,17 +136,16 @@ def _(spark, d):
 f AS (SELECT *, CASE WHEN Temperature_DailyMax >= 90 THEN 1 ELSE 0 END AS hot, sum(CASE WHEN Temperature_DailyMax >= 90 THEN 0 ELSE 1 END) OVER (ORDER BY "Date") AS isl FROM v_daily),
 r AS (SELECT CASE WHEN hot = 1 THEN sum(hot) OVER (PARTITION BY isl ORDER BY "Date") ELSE 0 END AS run FROM f),
 g AS (SELECT "Date" - CAST(row_number() OVER (ORDER BY "Date") AS INTEGER) AS isl FROM v_daily WHERE Temperature_DailyMax >= 90),
-s AS (SELECT count(*) AS len FROM g GROUP BY isl), dp AS (SELECT unnest([1,2,3,4,5]) AS depth)
-SELECT CAST(depth AS INT) AS depth, CAST((SELECT count(*) FROM r WHERE run = depth) AS BIGINT) AS days, CAST((SELECT count(*) FROM s WHERE len >= depth) AS BIGINT) AS episodes FROM dp""")
+s AS (SELECT count(*) AS len FROM g GROUP BY isl), dp AS (SELECT * FROM (VALUES ('0', 0, 0), ('1-3', 1, 3), ('4-7', 4, 7), ('8-12', 8, 12), ('13-18', 13, 18), ('19+', 19, 100000)) t(depth, lo, hi))
+SELECT depth, CAST((SELECT count(*) FROM r WHERE run BETWEEN lo AND hi) AS BIGINT) AS days, CAST((SELECT count(*) FROM s WHERE len BETWEEN lo AND hi) AS BIGINT) AS episodes FROM dp""")
 def _(spark, d):
     day = daily(spark, d).withColumn("series", F.lit("all"))
-    runs = WF.add_run_lengths(day, {"run": F.col("Temperature_DailyMax") >= 90.0}).where("run between 1 and 5")
-    days = runs.groupBy(F.col("run").cast("int").alias("depth")).agg(F.count("*").alias("days"))
-    ep = WF.hot_streaks(day, 90.0).select(F.explode(F.sequence(F.lit(1), F.least(F.col("Length_Days").cast("int"), F.lit(5)))).alias("depth"))
-    ep = ep.groupBy("depth").agg(F.count("*").alias("episodes"))
-    depths = spark.range(1, 6).select(F.col("id").cast("int").alias("depth"))
-    o = depths.join(days, "depth", "left").join(ep, "depth", "left")
-    return o.select("depth", F.coalesce("days", F.lit(0)).alias("days"), F.coalesce("episodes", F.lit(0)).alias("episodes"))
+    runs = WF.add_run_lengths(day, {"run": F.col("Temperature_DailyMax") >= 90.0}).select(WF.depth_bucket(F.col("run")).alias("depth"))
+    ep = WF.hot_streaks(day, 90.0).select(WF.depth_bucket(F.col("Length_Days")).alias("depth"))
+    one, none = F.lit(1), F.lit(0)
+    both = runs.select("depth", one.alias("d"), none.alias("e")).unionByName(ep.select("depth", none.alias("d"), one.alias("e")))
+    empty = day.select(F.explode(F.array(*[F.lit(x) for x in WF.DEPTH_BUCKETS])).alias("depth")).distinct().select("depth", none.alias("d"), none.alias("e"))
+    return both.unionByName(empty).groupBy("depth").agg(F.sum("d").alias("days"), F.sum("e").alias("episodes"))
 
 
 CAP_SQL = """
@@ -274,5 +272,3 @@ def _(spark, d):
     ev = o.select(F.to_date("o_orderdate").alias("date"), F.when(k % 3 != 0, (k % 24).cast("int")).alias("he_start"), F.when(k % 3 > 1, (k * 5 % 24).cast("int")).alias("he_end"))
     return X.drop_excluded_table(replay(spark, d, "series", "DT", "row_id"), ev).groupBy("series").agg(F.count("*").alias("n"), F.sum("row_id").alias("s"))
 
-
-_ = null_safe_join

@@ -47,20 +47,8 @@ def query(name: str, sql: str | None = None, r6: Sequence[str] = (), r4: Sequenc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a shared table.
-
-    A file with a single row group is one task however many cores there are; such
-    a scan is dealt out once (filters and columns still reach it).  Inputs with
-    at least as many splits as half the cores are left alone.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _WIDE_WORK and df.rdd.getNumPartitions() * 2 < cores:
-        return df.repartition(cores)
-    return df
-
-
-_WIDE_WORK = ("lineitem", "orders", "events")
+    """Scan of a shared table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _spark_cols(entries: Sequence[Entry]) -> list:

@@ -139,10 +139,10 @@ def _(spark, d):
 
 
 @query("agg15_active_capacity", ctes("site") + """,
-dd AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate >= DATE '1997-01-01')
+dd AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
 SELECT CAST(d AS VARCHAR) AS Date, coalesce((SELECT sum(capacity_kw) FROM v_site WHERE capacity_kw > 0 AND greatest("InterconnectionDate", (SELECT min(d) FROM dd)) <= dd.d),0) AS kw FROM dd""", r4=["kw"])
 def _(spark, d):
-    dd = table(spark, d, "orders").where("o_orderdate >= DATE'1997-01-01'").select(F.to_date("o_orderdate").alias("Date")).distinct()
+    dd = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("Date")).distinct()
     return S.active_capacity(dd, site(spark, d)).select(dstr("Date"), F.col("ActiveCapacity_kW").alias("kw"))
 
 

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..core.scratch import materialise, shared_dir
-from ..functions import buckets as B
 from ..functions import calendar as C
 from ..models import learners as ML
-from ..operators import bands as BD
 from ..operators import chain as CH
 from ..operators import history as H
 from ..operators import lags as L
@@ -23,8 +21,7 @@ from ..operators import weather_features as WF
 from ..streaming import jobs as J
 from .a_features import LOSS
 from .base import STAGES, ctes, daily, load, query, reading, replay, site, weather
-from .c_scorecards import ACT, FIN, RAW, bucketed, m_sql
-from .d_corrections import RULE_WHERE, RULES
+from .c_scorecards import ACT, FIN, RAW, m_sql
 from .f_solar import intervals
 
 
@@ -145,9 +142,9 @@ def _(spark, d):
 
 @query("rep04_cached_rescoring", ctes("bt") + """,
 cf AS (SELECT * FROM (VALUES ('off', 0.0), ('half', 0.5), ('full', 1.0)) t(config, k))
-SELECT config, origin_id, avg(abs(Actual_MWH - (Raw_Forecast_MWH + k*(Learned_Forecast_MWH-Raw_Forecast_MWH)))) AS mae FROM cf, v_bt WHERE origin_id BETWEEN 199601 AND 199712 GROUP BY 1, 2""", r6=["mae"])
+SELECT config, origin_id, avg(abs(Actual_MWH - (Raw_Forecast_MWH + k*(Learned_Forecast_MWH-Raw_Forecast_MWH)))) AS mae FROM cf, v_bt GROUP BY 1, 2""", r6=["mae"])
 def _(spark, d):
-    b = materialise(replay(spark, d, "origin_id", ACT, RAW, STAGES["residual_calibrated"]).where("origin_id between 199601 and 199712"), spark)
+    b = materialise(replay(spark, d, "origin_id", ACT, RAW, STAGES["residual_calibrated"]), spark)
     return CH.score_configs(b, {"off": 0.0, "half": 0.5, "full": 1.0}, RAW, STAGES["residual_calibrated"], ["origin_id"])
 
 
@@ -358,10 +355,10 @@ def _(spark, d):
 
 # ---- streams ------------------------------------------------------------------------------------
 
-def staged(spark, df, parts=1):
-    """The given rows as a folder of files, in time order, for a stream to read."""
+def staged(spark, df, parts=None):
+    """The given rows as a folder of files for a stream to read, in ``parts`` steps of time if asked for."""
     path = shared_dir(spark)
-    (df.repartition(parts) if parts == 1 else df.repartitionByRange(parts, "DT")).write.parquet(path)
+    (df.repartitionByRange(parts, "DT") if parts else df).write.parquet(path)
     return path, df.schema
 
 
@@ -431,7 +428,7 @@ def _(spark, d):
     tail = w.where("DT >= TIMESTAMP'2024-01-22'").withColumns({"t": F.col("t") + 1, "rev": F.lit(1)})
     out, ck, path = shared_dir(spark), shared_dir(spark), shared_dir(spark)
     for part in (w, tail):
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path)
         J.run_batches(J.file_stream(spark, path, w.schema), J.upsert_latest(out, ["series", "DT"], ["rev"]), ck)
     return spark.read.parquet(out).select("series", s("DT"), "t")
 
@@ -444,5 +441,3 @@ def _(spark, d):
     path, schema = staged(spark, x)
     return drained(spark, J.hot_sessions(J.file_stream(spark, path, schema), ["series"], 90.0)).select(s("start"), "days", "peak")
 
-
-_ = (B, BD, bucketed, RULE_WHERE, RULES)
