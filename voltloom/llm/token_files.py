@@ -40,8 +40,8 @@ END = struct.Struct("<IQ8s")
 NULL_ID = -(2**63)
 END_ID = 1
 END_BYTES = struct.pack("<I", END_ID)
-CACHE_CHUNKS = 400_000
-CACHE_PARTS = 800_000
+CACHE_CHUNKS = 800_000
+CACHE_PARTS = 1_200_000
 TOKENIZER = "word_bpe_49k.json"
 # Fixed value: the split of the tokenizers that chunk by chunk encoding holds for.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -102,7 +102,7 @@ class ChunkEncoder:
         chunks = _CHUNK.findall(text)
         if len(self.chunks) > CACHE_CHUNKS:
             self.chunks.clear()
-        if new := [c for c in set(chunks) if c not in self.chunks]:
+        if new := list(set(chunks).difference(self.chunks)):
             self._learn(new)
         return b"".join(map(self.chunks.__getitem__, chunks)) + END_BYTES
 
