@@ -62,8 +62,9 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
         if 2 ** (len(jumps) - 1) > longest or jumps[-1].isEmpty():
             break
         above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("_u"), F.col("sum").alias("_s"), F.col("len").alias("_n"))
-        state = state.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("_u").alias("up"), (F.col("sum") + F.coalesce("_s", F.lit(0.0))).alias("sum"), (F.col("len") + F.coalesce("_n", F.lit(0))).alias("len"))
+        further = state.join(above, ["tree", "up"]).select(  # messages whose root is reached wait outside
+            "tree", "node", F.col("_u").alias("up"), (F.col("sum") + F.col("_s")).alias("sum"), (F.col("len") + F.col("_n")).alias("len"))
+        state = further.unionByName(state.where("up IS NULL"))
     ends = leaves.join(state.where("up IS NULL"), ["tree", "node"]).select("tree", "node", (F.col("sum") / F.col("len")).alias("score"), "len")
     rank = [F.desc("score"), F.desc("len"), F.asc("node")]
     if keep == 1:
