@@ -31,6 +31,21 @@ def test_group_quantiles_hot_key_ties_nulls(spark):
         assert got[key]["n"] == len(g) and got[key]["nd"] == g.v.nunique() and abs(got[key]["mean"] - g.v.mean()) < 1e-9 * max(1, abs(g.v.mean()))
 
 
+def test_group_quantiles_split_a_hot_bucket(spark):
+    from voltloom.core.quantiles import _bucket
+
+    df = spark.range(1_000_000).select(F.lit("hot").alias("k"), (F.lit(1000.0) + F.col("id") * 5e-7).alias("v"))
+    bucket, part = _bucket(F.col("v"))
+    cells = df.select(bucket.alias("b"), part.alias("s")).groupBy("b").agg(F.count("*").alias("n"), F.count_distinct("s").alias("parts")).collect()
+    assert len(cells) <= 2 and max(c["parts"] for c in cells) > 1000
+    per_task = [r["count"] for r in df.select("k", bucket.alias("b"), part.alias("s")).repartition(8, "k", "b", "s").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 8 and max(per_task) < 250_000
+    probs = {"lo": 0.0, "a": 0.137, "m": 0.5, "z": 0.9, "hi": 1.0}
+    got = group_quantiles(df, ["k"], "v", probs, "n", "nd").first()
+    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs.values()]))).first()[0]
+    assert np.allclose([got[p] for p in probs], want, rtol=0, atol=1e-9) and got["n"] == 1_000_000 == got["nd"]
+
+
 def test_group_quantiles_without_keys_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
     assert group_quantiles(df, [], "v", {"m": 0.5}).first()["m"] == 2.0

@@ -2,9 +2,11 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer, which a hot
 group makes unbounded.  Here equal values are folded before the shuffle, the
-folded values are spread by (group, value bucket), bucket counts locate the
-wanted ranks, and only the buckets that hold one are ordered.  A hot group is
-thus split over as many tasks as its values fill buckets.
+folded values are spread by (group, value bucket, sub-bucket), counts locate the
+wanted ranks first among the buckets and then among the sub-buckets of those
+buckets, and only the sub-buckets that hold one are ordered.  A hot group is split
+over as many tasks as its values fill sub-buckets, also when they all lie in one
+bucket; a sub-bucket is 2e-7 of its value wide, and equal values are one row in it.
 """
 
 from __future__ import annotations
@@ -18,11 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _PER_UNIT = 1024.0  # buckets per unit of log1p: neighbours differ by 0.1 %
+_PARTS = 4096.0     # sub-buckets of a bucket
 
 
-def _bucket(v: Column) -> Column:
-    """A monotone whole-number bucket of a value, finer near zero; needs no bounds of the data."""
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(_PER_UNIT)).cast("long")
+def _bucket(v: Column) -> tuple[Column, Column]:
+    """Monotone whole-number (bucket, sub-bucket) of a value, finer near zero; needs no bounds of the data."""
+    at = F.signum(v) * F.log1p(F.abs(v)) * F.lit(_PER_UNIT)
+    return F.floor(at).cast("long"), F.floor((at - F.floor(at)) * F.lit(_PARTS)).cast("int")
 
 
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
@@ -32,17 +36,20 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     Null keys form groups of their own; groups without a value are absent.
     ``count_as``, ``distinct_as`` and ``mean_as`` add the number of values, of
     distinct values, and their mean.
-    The source is read once: both branches below share the (group, bucket) exchange.
+    The source is read once: all branches below share the exchange of the folded values.
     """
     v = F.col(value).cast("double")
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_one"))
     base = df.select(key.alias("_g"), v.alias("_v")).where("_v is not null and not isnan(_v)")
-    folded = base.withColumn("_b", _bucket(F.col("_v"))).groupBy("_g", "_b", "_v").agg(F.count("*").alias("_n"))
-    spread = folded.repartition("_g", "_b")
+    bucket, part = _bucket(F.col("_v"))
+    folded = base.withColumns({"_b": bucket, "_s": part}).groupBy("_g", "_b", "_s", "_v").agg(F.count("*").alias("_n"))
+    spread = folded.repartition("_g", "_b", "_s")
+    parts = spread.groupBy("_g", "_b", "_s").agg(F.sum("_n").alias("_sn"), F.count("*").alias("_sd"), F.sum(F.col("_v") * F.col("_n")).alias("_ss"))
+    parts = parts.repartition("_g", "_b")
 
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
+    hist = parts.groupBy("_g", "_b").agg(F.sum("_sn").alias("_bn"), F.sum("_sd").alias("_bd"), F.sum("_ss").alias("_bs"))
     hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group),
                              "_mean": F.sum("_bs").over(group) / F.sum("_bn").over(group)})
 
@@ -54,13 +61,21 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
         return (rank >= start) & (rank < end)
 
     all_ranks = [r for p in probs.values() for r in ranks(p)]
+
+    def wanted(start: Column, end: Column) -> Column:
+        return reduce(or_, [inside(r, start, end) for r in all_ranks])
+
     before = F.col("_end") - F.col("_bn")
-    target = hist.where(reduce(or_, [inside(r, before, F.col("_end")) for r in all_ranks])).select("_g", "_b", "_total", "_distinct", "_mean", before.alias("_before"))
+    near = hist.where(wanted(before, F.col("_end"))).select("_g", "_b", "_total", "_distinct", "_mean", before.alias("_before"))
+    sub = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)  # at most _PARTS + 1 rows
+    target = parts.select("_g", "_b", "_s", "_sn").join(near, ["_g", "_b"]).withColumn("_end", F.sum("_sn").over(sub) + F.col("_before"))
+    before = F.col("_end") - F.col("_sn")
+    target = target.where(wanted(before, F.col("_end"))).select("_g", "_b", "_s", "_total", "_distinct", "_mean", before.alias("_before"))
 
-    order = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    run = spread.join(target, ["_g", "_b"]).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
+    order = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    run = spread.join(target, ["_g", "_b", "_s"]).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
     start, end = F.col("_to") - F.col("_n"), F.col("_to")
-    found = run.where(reduce(or_, [inside(r, start, end) for r in all_ranks]))
+    found = run.where(wanted(start, end))
     aggs = []
     for name, p in probs.items():
         lo_r, hi_r = ranks(p)
