@@ -33,18 +33,26 @@ def s(col, name=None):
 
 FLOW_SQL = """,
 lg AS (SELECT a.series, a.DT, a.eh, a.MWH, avg(b.MWH) AS f FROM v_load a JOIN v_load b ON b.series = a.series AND a.eh - b.eh IN (24,48,72,96,120,144,168) GROUP BY 1, 2, 3, 4),
-lk AS (SELECT series, hour(DT) AS h, least(greatest(avg(MWH-f)*count(*)/(count(*)+24.0)*0.7, -12), 12) AS c FROM lg GROUP BY 1, 2),
-z AS (SELECT lg.*, greatest(f + c, 0) AS g FROM lg JOIN lk ON lk.series = lg.series AND lk.h = hour(lg.DT)), u AS (SELECT series, 'corrected' AS "Stage", MWH AS a, g AS f FROM z UNION ALL SELECT series, 'seasonal_naive', MWH, f FROM z)"""
+lk AS (SELECT series, hour(DT) AS h, least(greatest(avg(MWH-f)*count(*)/(count(*)+24.0)*0.7, -12), 12) AS c FROM lg WHERE DT < TIMESTAMP '2024-01-20' GROUP BY 1, 2),
+z AS (SELECT lg.*, greatest(f + coalesce(c, 0), 0) AS g FROM lg LEFT JOIN lk ON lk.series = lg.series AND lk.h = hour(lg.DT) WHERE lg.DT >= TIMESTAMP '2024-01-20'), u AS (SELECT series, 'corrected' AS "Stage", MWH AS a, g AS f FROM z UNION ALL SELECT series, 'seasonal_naive', MWH, f FROM z)"""
+
+
+FLOW_CUT = "2024-01-20"
 
 
 def flow(spark, d):
-    """Readings to hours, gap-safe lags, seasonal-naive forecast, shrunk (series, hour) correction."""
+    """Readings to hours, gap-safe lags, seasonal-naive forecast, shrunk (series, hour) correction.
+
+    The correction is learned before ``FLOW_CUT`` and applied from there on, so no row is scored on itself.
+    """
     lagged = L.add_calendar_lags(load(spark, d), lags=[], rolling=[])
     base = lagged.where("MWH_SameHour7DayMean is not null").select("series", "DT", F.col("MWH").alias(ACT), F.col("MWH_SameHour7DayMean").alias(RAW), F.hour("DT").alias("Hour"))
     base = base.withColumn("Residual_MWH", F.col(ACT) - F.col(RAW))
     lv = (LK.Level("hour", ("Hour",)),)
-    lk = LK.learn(base, lv, "Residual_MWH", ["series"], 0.7, 12.0, 24.0)
-    return LK.apply_scoped(base, lk, lv, F.lit(True), ["series"], count_k=None, base=RAW, forecast_col="Corrected_MWH")
+    base = materialise(base, spark)  # learned from and applied to
+    cut = F.lit(FLOW_CUT).cast("timestamp")
+    lk = LK.learn(base.where(F.col("DT") < cut), lv, "Residual_MWH", ["series"], 0.7, 12.0, 24.0)
+    return LK.apply_scoped(base.where(F.col("DT") >= cut), lk, lv, F.lit(True), ["series"], count_k=None, base=RAW, forecast_col="Corrected_MWH")
 
 
 @query("flow_rollup_to_scorecard", ctes("load") + FLOW_SQL + f"""
