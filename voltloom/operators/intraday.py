@@ -17,6 +17,7 @@ FEATURES = (
     "FiveMin_PrevHour_Count", "FiveMin_Ramp_15Min_MW", "FiveMin_Ramp_30Min_MW", "FiveMin_Ramp_60Min_MW",
 )
 DAY_SECONDS = 86_400
+RAMP_MINUTES = (15, 30, 60)
 
 
 def hour_stats(readings: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str] = ()) -> DataFrame:
@@ -71,11 +72,11 @@ def previous_hour_features(readings: DataFrame, keys: Sequence[str] = ("series",
     points = readings.where(F.col(value).isNotNull() & F.col("DT").isNotNull()).select(
         *keys, F.col("DT"), F.col(value).alias("_v"), *tie)
     points = keep_last(points, [*keys, "DT"], [*tie, "_v"] if tie else ["_v"])
-    out = h
-    for minutes in (15, 30, 60):
-        asof = asof_backward_unbounded(
-            out, points, keys, epoch_us_expr("HourDT", (60 - minutes) * 60), epoch_us_expr("DT", 0), ["_v"], DAY_SECONDS * 1_000_000)
-        out = asof.withColumn(f"FiveMin_Ramp_{minutes}Min_MW", F.col("last") - F.col("_v")).drop("_v", "_rt")
+    # the three times asked for lie in the hour itself, so one pass over the hour's day finds them all
+    asked = h.select("*", F.inline(F.array(*[F.struct(F.lit(m).alias("_m"), epoch_us_expr("HourDT", (60 - m) * 60).alias("_at")) for m in RAMP_MINUTES])))
+    asof = asof_backward_unbounded(asked, points, keys, F.col("_at"), epoch_us_expr("DT", 0), ["_v"], DAY_SECONDS * 1_000_000)
+    ramps = [F.max(F.when(F.col("_m") == m, F.col("last") - F.col("_v"))).alias(f"FiveMin_Ramp_{m}Min_MW") for m in RAMP_MINUTES]
+    out = asof.groupBy(*keys, "HourDT").agg(*[F.first(c).alias(c) for c in ("avg", "n", "min", "max", "first", "last")], *ramps)
     return out.select(
         *keys, (F.col("HourDT") + F.expr("INTERVAL 2 HOURS")).alias("DT"),
         F.lit(1.0).alias("FiveMin_Load_Available"), F.lit(0.0).alias("FiveMin_Data_Age_Hours"),
@@ -84,7 +85,7 @@ def previous_hour_features(readings: DataFrame, keys: Sequence[str] = ("series",
         (F.col("max") - F.col("min")).alias("FiveMin_PrevHour_Range_MW"),
         (F.col("last") - F.col("first")).alias("FiveMin_PrevHour_Ramp_MW"),
         F.col("n").cast("double").alias("FiveMin_PrevHour_Count"),
-        *[f"FiveMin_Ramp_{m}Min_MW" for m in (15, 30, 60)])
+        *[f"FiveMin_Ramp_{m}Min_MW" for m in RAMP_MINUTES])
 
 
 def epoch_us_expr(col: str, plus_seconds: int):

@@ -68,13 +68,13 @@ def zero_low_sun(df: DataFrame, elevation: str, min_elevation: float, cols: Sequ
     return df.withColumns({x: F.when(c(elevation) < min_elevation, 0.0).otherwise(c(x)) for x in cols})
 
 
-def default_weather(df: DataFrame) -> DataFrame:
-    """Fill unit pairs from each other, bound the ranges, and take medians and constants for what is left."""
-    med = group_quantiles(df, [], "Temperature2m_C", {"t": 0.5}).select("t").scalar()
+def default_weather(df: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """Fill unit pairs from each other, bound the ranges, and take the key's median and constants for what is left."""
+    med = group_quantiles(df, keys, "Temperature2m_C", {"_median_c": 0.5})
     ghi = clip(F.coalesce(c("GHI_kWh_per_m2"), c("WeatherGHI_Wm2") / 1000.0), lo=0)
-    out = df.withColumns({"GHI_kWh_per_m2": ghi, "Temperature2m_C": F.coalesce(c("Temperature2m_C"), med, F.lit(25.0)), "WindSpeed10m_mps": F.coalesce(clip("WindSpeed10m_mps", lo=0), F.lit(0.0)),
+    out = null_safe_join(df, med, keys).withColumns({"GHI_kWh_per_m2": ghi, "Temperature2m_C": F.coalesce(c("Temperature2m_C"), c("_median_c"), F.lit(25.0)), "WindSpeed10m_mps": F.coalesce(clip("WindSpeed10m_mps", lo=0), F.lit(0.0)),
                           "CloudCoverPct": F.coalesce(clip("CloudCoverPct", 0, 100), F.lit(0.0))})
-    return out.withColumn("WeatherGHI_Wm2", F.coalesce(c("WeatherGHI_Wm2"), c("GHI_kWh_per_m2") * 1000.0))
+    return out.withColumn("WeatherGHI_Wm2", F.coalesce(c("WeatherGHI_Wm2"), c("GHI_kWh_per_m2") * 1000.0)).drop("_median_c")
 
 
 def add_physics(df: DataFrame, tilt: float = 25.0, azimuth: float = 180.0) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..core import asof_backward, epoch_second, keep_last
 from ..functions import buckets as B
 from ..functions import calendar as C
 from ..functions import clock as K
 from ..functions import weather as W
 from ..operators import intraday as I
 from ..operators import lags as L
-from .base import HOUR_GROUP, SEASON, ctes, daily, load, query, reading, replay, table, weather
+from .base import ctes, load, query, reading, replay, table, weather
 
 
 def ts(c="DT"):
@@ -427,6 +426,3 @@ def _(spark, d):
     off = load(spark, d).where("DT < TIMESTAMP'2024-01-20'").select("series", "DT", "MWH")
     rec = I.completed_hours(reading(spark, d), ["series"], "value", min_count=1, last_minute=None).select("series", "DT", "MWH", "Load_Source")
     return I.append_recent_hours(off, rec, ["series"], 48).select("series", ts(), "MWH", F.col("Load_Source").alias("src"))
-
-
-_ = (SEASON, HOUR_GROUP, daily, keep_last, asof_backward, epoch_second)

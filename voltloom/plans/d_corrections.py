@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..core import keep_first
 from ..functions import buckets as B
 from ..operators import bands as BD
 from ..operators import event_class as E
@@ -576,6 +575,3 @@ def _(spark, d):
     t = {1: 1.6, 2: 2.0, 3: 2.4, 4: 2.9, 5: 3.4, 6: 3.9, 7: 4.4}
     o = S.robustness_hedge(scen(replay(spark, d, *SC_COLS)), RAW, "sc_warm", "sc_cool", mae_by_lead=t)
     return o.select("row_id", F.col("Weather_Robustness_Hedge_MWH").alias("hedge"))
-
-
-_ = (keep_first, reading)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import peaks as P
 from ..operators import scorecards as SC
-from .a_features import LOSS
 from .base import ctes, load, query, replay
 from .c_scorecards import ACT, FIN, RAW
 
@@ -195,6 +194,3 @@ def _(spark, d):
     b = base(spark, d).withColumn("Lag1_Minus_SameHourYesterday_MWH", F.lit(-1.0))
     g = P.evidence_gate({"raw": (20.0, None), "lag1x": (None, 80.0), "maxtemp": (85.0, None), "cloud": (None, 0.7), "forecast_day": (None, 10.0)}, {"lag1x": P.lag1_or_rebuilt()})
     return b.groupBy(g.cast("int").alias("gate")).agg(F.count("*").alias("n"))
-
-
-_ = LOSS

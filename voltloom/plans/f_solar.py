@@ -91,7 +91,7 @@ def _(spark, d):
 
 
 @query("scl13_weather_defaults", ctes("weather") + """
-SELECT series, CAST(DT AS VARCHAR) AS DT, coalesce((TempF-32)*5/9, (SELECT quantile_cont((TempF-32)*5/9, 0.5) FROM v_weather), 25) AS t, coalesce(WindSpeedMph,0) AS w, coalesce(CloudCoverPct,0) AS c, coalesce(GHI_Wm2/1000,0) AS g FROM v_weather""", r6=["t", "w", "c", "g"])
+SELECT series, CAST(DT AS VARCHAR) AS DT, coalesce((TempF-32)*5/9, m, 25) AS t, coalesce(WindSpeedMph,0) AS w, coalesce(CloudCoverPct,0) AS c, coalesce(GHI_Wm2/1000,0) AS g FROM v_weather LEFT JOIN (SELECT series AS k, quantile_cont((TempF-32)*5/9, 0.5) AS m FROM v_weather GROUP BY 1) ON k IS NOT DISTINCT FROM series""", r6=["t", "w", "c", "g"])
 def _(spark, d):
     from ..functions.weather import celsius
     w = weather(spark, d).select("series", "DT", celsius("TempF", F.lit("F")).alias("Temperature2m_C"), F.col("WindSpeedMph").alias("WindSpeed10m_mps"), "CloudCoverPct", F.lit(None).cast("double").alias("GHI_kWh_per_m2"), F.col("GHI_Wm2").alias("WeatherGHI_Wm2"))

@@ -11,14 +11,12 @@ from ..functions import buckets as B
 from ..operators import history as H
 from ..operators import lags as L
 from ..operators import metrics as M
-from ..operators import scorecards as SC
 from ..operators import training as TR
 from ..operators import weather_features as WF
 from ..sources import scans as SR
 from ..sources import store as ST
-from .a_features import LOSS
 from .base import STAGES, ctes, daily, load, query, reading, replay, site, table, weather
-from .c_scorecards import ACT, FIN, METRICS, RAW, STAGE_SQL, bucketed, m_sql
+from .c_scorecards import ACT, FIN, METRICS, RAW, STAGE_SQL, m_sql
 
 
 def s(col, name=None):
@@ -729,6 +727,3 @@ def _(spark, d):
 @query("set05_months_touched", RNG_SQL + "\nSELECT DISTINCT s, CAST(CAST(unnest(generate_series(date_trunc('month', a), date_trunc('month', b), INTERVAL 1 MONTH)) AS DATE) AS VARCHAR) AS month FROM r")
 def _(spark, d):
     return H.months_touched(ranges(spark, d)).select("s", F.to_date("month").cast("string").alias("month")).distinct()
-
-
-_ = (site, bucketed, SC, LOSS)

@@ -143,7 +143,10 @@ def _(spark, d):
     return o.select("Season", "N", "MAE_MWH", "peak_ratio")
 
 
-@query("udf04_per_series_routine")
+@query("udf04_per_series_routine", ctes("load") + """,
+hm AS (SELECT series, hour(DT) AS h, avg(MWH) AS hm FROM v_load GROUP BY 1, 2), dm AS (SELECT series, avg(MWH) AS dm FROM v_load GROUP BY 1),
+e AS (SELECT l.series, k, sqrt(avg(power(MWH - (k*hm + (1-k)*dm), 2))) AS r FROM v_load l JOIN hm ON hm.series = l.series AND hm.h = hour(l.DT) JOIN dm ON dm.series = l.series, (VALUES (0.0), (0.25), (0.5), (0.75), (1.0)) t(k) GROUP BY 1, 2)
+SELECT series, CAST(arg_min(k, r) AS DOUBLE) AS share, min(r) AS rmse FROM e GROUP BY 1""", r6=["rmse"])
 def _(spark, d):
     return CH.per_key_search(load(spark, d).select("series", "DT", "MWH", F.hour("DT").alias("Hour")), [0.0, 0.25, 0.5, 0.75, 1.0])
 
