@@ -44,12 +44,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     bucket, part = _bucket(F.col("_v"))
     folded = base.withColumns({"_b": bucket, "_s": part}).groupBy("_g", "_b", "_s", "_v").agg(F.count("*").alias("_n"))
     spread = folded.repartition("_g", "_b", "_s")
-    parts = spread.groupBy("_g", "_b", "_s").agg(F.sum("_n").alias("_sn"), F.count("*").alias("_sd"), F.sum(F.col("_v") * F.col("_n")).alias("_ss"))
-    parts = parts.repartition("_g", "_b")
-
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = parts.groupBy("_g", "_b").agg(F.sum("_sn").alias("_bn"), F.sum("_sd").alias("_bd"), F.sum("_ss").alias("_bs"))
+    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
     hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group),
                              "_mean": F.sum("_bs").over(group) / F.sum("_bn").over(group)})
 
@@ -68,7 +65,9 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     before = F.col("_end") - F.col("_bn")
     near = hist.where(wanted(before, F.col("_end"))).select("_g", "_b", "_total", "_distinct", "_mean", before.alias("_before"))
     sub = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)  # at most _PARTS + 1 rows
-    target = parts.select("_g", "_b", "_s", "_sn").join(near, ["_g", "_b"]).withColumn("_end", F.sum("_sn").over(sub) + F.col("_before"))
+    parts = spread.join(near, ["_g", "_b"]).groupBy("_g", "_b", "_s").agg(
+        F.sum("_n").alias("_sn"), *[F.first(x).alias(x) for x in ("_total", "_distinct", "_mean", "_before")])
+    target = parts.withColumn("_end", F.sum("_sn").over(sub) + F.col("_before"))
     before = F.col("_end") - F.col("_sn")
     target = target.where(wanted(before, F.col("_end"))).select("_g", "_b", "_s", "_total", "_distinct", "_mean", before.alias("_before"))
 
