@@ -25,8 +25,8 @@ def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; one taken twice is two rows."""
-    return mixing.mixed_rows(docs)
+    """Documents as often as the mix takes them, those labelled as good more likely; one taken twice is two rows."""
+    return mixing.mixed_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

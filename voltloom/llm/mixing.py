@@ -67,14 +67,13 @@ def scored(docs: DataFrame, labels: DataFrame | None, seed: str, keep: Sequence[
     The quality weight comes from the labels (folded to the best per document); a row
     without a label, or with another value than 0 and 1, has weight 1.
     """
-    d = docs
     w = F.lit(QUALITY_WEIGHTS[None])
+    numbers = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), F.col("text"), F.lit(1.0), seed).alias("_e"), *keep)
     if labels is not None:
         q = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
-        numbers = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), F.col("text"), F.lit(1.0), seed).alias("_e"))
+        numbers = numbers.join(q, F.col("doc_id") == F.col("_id"), "left")
         w = F.coalesce(*[F.when(F.col("_q") == k, F.lit(v)) for k, v in QUALITY_WEIGHTS.items() if k is not None], w)
-        return numbers.join(q, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "source", "size", (F.col("_e") / w).alias("key"), w.alias("weight"))
-    return d.select("doc_id", "source", n_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), F.col("text"), w, seed).alias("key"), w.alias("weight"), *keep)
+    return numbers.select("doc_id", "source", "size", (F.col("_e") / w).alias("key"), w.alias("weight"), *keep)
 
 
 def _bucket() -> Column:
@@ -135,11 +134,11 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -
     return out.select("doc_id", "size", "source_size", "target", (times(out) * F.col("size")).alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
-    """The mix itself: every row as often as it is taken, with the columns of ``docs``."""
-    plan = stops(materialise(scored(docs, None, seed)))
+def mixed_rows(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -> DataFrame:
+    """The mix itself: every row as often as ``mix`` takes it, with the columns of ``docs``."""
+    plan = stops(materialise(scored(docs, labels, seed)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = scored(docs.withColumn("_row", row), None, seed, keep=("_row",))
+    keyed = scored(docs.withColumn("_row", row), labels, seed, keep=("_row",))
     out = _with_plan(keyed, plan)
     return out.withColumn("_k", F.explode(F.array_repeat(F.lit(0), times(out).cast("int")))).select("_row.*")
 
