@@ -3,8 +3,10 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
+
 import corpus_pipeline
-from voltloom.llm import mixing
+from voltloom.llm import minmax, mixing
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -31,3 +33,41 @@ def test_pipeline_mix_takes_what_the_labelled_mix_takes(spark, tmp_path):
         got[r["doc_id"]] += len(r["text"].split())
     assert got == want
     assert want != plain
+
+
+# -- near duplicates with repeated rows ------------------------------------------------------------
+
+def test_repeated_rows_keep_their_links(spark, monkeypatch):
+    """Texts apart from the leader that are linked through words outside it, every row two to ten times."""
+    def one_bucket(batches):  # all texts with the same first word, and no others, share a bucket
+        for b in batches:
+            sets = [minmax.shingle_set(t.as_py(), minmax._WordHashes()) for t in b.column("text")]
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "text_hash": b.column("text_hash"), "n_shingles": pa.array([len(x) for x in sets], pa.int64()),
+                                   "set_print": pa.array([x.tobytes() for x in sets], pa.binary()), "bands": pa.array([[int(t.as_py().split()[0])] for t in b.column("text")], pa.list_(pa.int64()))})
+
+    rng, texts, rows = random.Random(31), {}, []
+    fresh = lambda n: [f"w{rng.getrandbits(48)}" for _ in range(n)]
+    for c in range(12):
+        core = [str(c), *fresh(70)]
+        group = [core + fresh(25) for _ in range(4)]
+        for _ in range(3):
+            more = core + fresh(20)
+            group += [more + fresh(10) for _ in range(3)]
+        rng.shuffle(group)
+        texts |= {len(texts) + i: " ".join(ws) for i, ws in enumerate(group)}
+    for i, t in texts.items():
+        rows += [(i, t)] * rng.randint(2, 10)
+    rng.shuffle(rows)
+
+    sets = {i: set(minmax.shingle_set(t, minmax._WordHashes()).tolist()) for i, t in texts.items()}
+    want = {i: i for i in texts}
+    for i in sorted(texts):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                want[i] = min(want[i], want[j])
+    assert len(set(want.values())) == 12 * (4 + 3)
+    monkeypatch.setattr(minmax, "_sign", one_bucket)
+    got = minmax.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).select("doc_id", "component_id").collect()
+    assert len(got) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want

@@ -206,7 +206,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     want = members.select("node").distinct().join(classes.select("node", "row"), "node").select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_h"))
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    texts = texts.join(want, texts["doc_id"].eqNullSafe(want["_id"]) & (texts["text_hash"] == want["_h"])).select("node", "text")
+    texts = texts.join(want, texts["doc_id"].eqNullSafe(want["_id"]) & (texts["text_hash"] == want["_h"]))
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))  # the chosen row may be repeated
     sets = materialise(texts.mapInArrow(_sets, "node bigint, items array<bigint>"))
 
     # the text that shares most buckets is the likeliest centre of its group
