@@ -6,7 +6,9 @@ benchmark in one join.  A hit fixes an alignment (text position minus item posit
 each distinct alignment is then compared word by word, and a document is contaminated
 when some stretch of ``WINDOW`` aligned words (or of the whole item, if shorter)
 agrees in ``SHARE`` of its words, so substituted words are tolerated in and around
-the hit.  Items shorter than a mask get one unspaced seed of their own length.
+the hit.  No such stretch is without a seed: for every set of substitutions that
+``WINDOW`` and ``SHARE`` accept some mask has its ones on equal words.  Items shorter
+than the window have masks for their length, which holds for those in the same way.
 
 All of it is DataFrame expressions.  Only seeds and hits move between tasks, the hits
 folded to alignments first; texts are read again for the documents with a hit.
@@ -22,7 +24,14 @@ from pyspark.sql import functions as F
 from voltloom.core.scratch import materialise
 from voltloom.llm.base import query, table, tokens
 
-MASKS = ("11101001101", "1101011011")
+MASKS = ("11110111", "1110110011", "11010010111")
+SQL_MASKS = ("11101001101", "1101011011")  # of the DuckDB text, which finds a part of what MASKS finds
+# Items of so many words, fewer than WINDOW; up to four words no substitution is allowed and all words are the seed.
+SHORT_MASKS = {
+    12: ("11101011", "11010111", "1110010011"), 11: ("1111011", "110001111", "1101100011"), 10: ("111011", "1101011", "1110011"),
+    9: ("1111011", "1101111"), 8: ("111011", "110111"), 7: ("11111", "110111", "111101"), 6: ("1111", "11011"), 5: ("1111", "10111", "11011", "11101"),
+    4: ("1111",), 3: ("111",), 2: ("11",), 1: ("1",),
+}
 WINDOW = 13
 SHARE = 0.8
 BROADCAST_SEEDS = 500_000  # rows of three numbers, some 30 MB as a hash table; above that the join shuffles
@@ -59,10 +68,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     Rows that share a doc_id, or have none, share one verdict.
     """
     items = materialise(_items(benchmark))
-    shortest = min(map(len, MASKS))
-    short = [r[0] for r in items.where(F.size("item") < max(map(len, MASKS))).select(F.size("item")).distinct().collect()]
-    masks = [*MASKS, *("1" * n for n in sorted(short) if n < shortest)]
-    of_items = materialise(items.select("item_id", F.explode(_seeds("item", masks)).alias("s")).select("item_id", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
+    short = sorted(r[0] for r in items.where(F.size("item") < WINDOW).select(F.size("item")).distinct().collect())
+    masks = list(dict.fromkeys([*MASKS, *(m for n in short for m in SHORT_MASKS[n])]))
+    of_length = F.coalesce(*[F.when(F.size("item") == n, _seeds("item", SHORT_MASKS[n])) for n in short], _seeds("item", MASKS))
+    of_items = materialise(items.select("item_id", F.explode(of_length).alias("s")).select("item_id", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
     small = of_items.count() <= BROADCAST_SEEDS
     known = F.broadcast(of_items) if small else of_items
 
@@ -103,9 +112,9 @@ def _sql_seed(words: str, mask: str) -> str:
 
 
 def _sql_seeds(src: str, key: str, words: str) -> str:
-    spaced = [f"SELECT {key}, {k} m, p, {_sql_seed(words, m)} seed FROM (SELECT {key}, {words}, unnest(range(0, len({words}) - {len(m) - 1})) p FROM {src})" for k, m in enumerate(MASKS)]
+    spaced = [f"SELECT {key}, {k} m, p, {_sql_seed(words, m)} seed FROM (SELECT {key}, {words}, unnest(range(0, len({words}) - {len(m) - 1})) p FROM {src})" for k, m in enumerate(SQL_MASKS)]
     exact = (f"SELECT {key}, 100 + l m, p, array_to_string({words}[p + 1 : p + l], ' ') seed FROM (SELECT {key}, {words}, l, unnest(range(0, len({words}) - l + 1)) p "
-             f"FROM {src}, (SELECT DISTINCT len(it) l FROM i WHERE len(it) < {min(map(len, MASKS))}))")
+             f"FROM {src}, (SELECT DISTINCT len(it) l FROM i WHERE len(it) < {min(map(len, SQL_MASKS))}))")
     return reduce(lambda a, b: f"{a}\nUNION ALL {b}", [*spaced, exact])
 
 
