@@ -8,7 +8,7 @@ from collections import Counter
 import pyarrow as pa
 
 import corpus_pipeline
-from voltloom.llm import decontam, minmax, mixing
+from voltloom.llm import decontam, licenses, minmax, mixing
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -99,3 +99,19 @@ def test_all_accepted_substitutions_are_found(spark):
                 rows.append((len(rows), "a b c " + " ".join(part) + " d e"))
     found = decontam.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
     assert {(r["doc_id"], r["item_id"]) for r in found.select("doc_id", "item_id").collect()} == want
+
+
+# -- licence notices -------------------------------------------------------------------------------
+
+def test_every_rule_fires_on_its_notice(spark):
+    texts, want = [], []
+    for name, kind, rules, _ in licenses.RULES:
+        for rule in rules:
+            texts.append("Header\n\n" + "; ".join(licenses.SENTENCES[k] for k in rule) + ".\nmore")
+            want.append(([name], kind))
+    mpl = (" * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n"
+           " * file, You can obtain one at https://mozilla.org/MPL/2.0/.")
+    texts += [mpl, mpl.replace("License, v. 2.0", "License, v.\n * 2.0")]
+    want += [(["MPL-2.0"], "copyleft")] * 2
+    got = {r["doc_id"]: (r["licenses"], r["license_class"]) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [got.get(i, ([], None)) for i in range(len(texts))] == want

@@ -66,6 +66,7 @@ RULES = [
 ]
 WORST_FIRST = ("restricted", "copyleft", "permissive")
 
+_VERSION = r"(?<![\p{L}\p{M}\p{N}])([vV])\.(?=[^\p{L}\p{M}\p{N}]+[0-9])"  # the full stop of "v. 2.0" ends no sentence
 _MARK = r"[^\p{L}\p{M}\p{N}]+"
 BY_LINE = r"[.!?;:][^\p{L}\p{M}\p{N}\s]*\s+|\n"
 RUN_ON = r"[.!?;:][^\p{L}\p{M}\p{N}\s]*\s+|\n[^\p{L}\p{M}\p{N}\n]*\n"
@@ -92,7 +93,7 @@ def scan(docs: DataFrame) -> DataFrame:
     ``n_sentences`` counts known sentences in the reading that has more of them.
     Null and empty texts have none; repeated rows each get a row.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), _VERSION, "$1")
     both = docs.select("doc_id", _ids(text, BY_LINE).alias("a"), _ids(text, RUN_ON).alias("b"))
     both = both.where((F.size("a") > 0) | (F.size("b") > 0)).select(
         "doc_id", F.greatest(F.size("a"), F.size("b")).cast("long").alias("n_sentences"), F.array(F.array_join("a", " "), F.array_join("b", " ")).alias("seq"))
