@@ -115,3 +115,15 @@ def test_every_rule_fires_on_its_notice(spark):
     want += [(["MPL-2.0"], "copyleft")] * 2
     got = {r["doc_id"]: (r["licenses"], r["license_class"]) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
     assert [got.get(i, ([], None)) for i in range(len(texts))] == want
+
+
+# -- decontamination without ids -------------------------------------------------------------------
+
+def test_rows_and_items_without_an_id(spark):
+    leak = " ".join(f"q{i}" for i in range(20))
+    rows = [(None, "clean one"), (None, f"a {leak} b"), (1, "clean two"), (1, leak), (2, "clean three"), (2, "clean three"), (3, " ".join(f"r{i}" for i in range(15))), (4, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(9, leak), (None, " ".join(f"r{i}" for i in range(15))), (None, None)], "item_id bigint, text string")
+    left = [tuple(r) for r in decontam.decontaminate(docs, items).collect()]
+    assert Counter(left) == Counter([rows[0], rows[4], rows[5], rows[7], rows[8]])
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()} == {(None, 9), (1, 9), (3, None)}

@@ -53,58 +53,66 @@ def _seeds(tok: str, masks) -> Column:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """Distinct token sequences of the benchmark under their smallest item_id; items without a word go."""
+    """Distinct token sequences of the benchmark, numbered, under their smallest item_id; items without a word go."""
     t = benchmark.select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") > 0)
-    return t.groupBy("item").agg(F.min("item_id").alias("item_id"))
+    return t.groupBy("item").agg(F.min("item_id").alias("item_id")).withColumn("_i", F.monotonically_increasing_id())
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """``doc_id, item_id, n_equal, n_compared, n_aligned_equal, doc_word``: one row per document and item found in it.
-
-    ``n_equal`` of the ``n_compared`` words of the best stretch agree, ``n_aligned_equal``
-    words of the whole alignment; ``doc_word`` is the text's word at which the item's first
-    word would lie.  Of equal alignments the first is named.  Items with the same words
-    are one item (smallest item_id).  Null or empty texts and items match nothing.
-    Rows that share a doc_id, or have none, share one verdict.
-    """
+def _good(docs: DataFrame, benchmark: DataFrame, window: int, share: float) -> DataFrame:
+    """``doc_id, text_hash, item_id`` and the figures of every alignment that holds; a text is known by its id and hash, an item by its number."""
     items = materialise(_items(benchmark))
     short = sorted(r[0] for r in items.where(F.size("item") < WINDOW).select(F.size("item")).distinct().collect())
     masks = list(dict.fromkeys([*MASKS, *(m for n in short for m in SHORT_MASKS[n])]))
     of_length = F.coalesce(*[F.when(F.size("item") == n, _seeds("item", SHORT_MASKS[n])) for n in short], _seeds("item", MASKS))
-    of_items = materialise(items.select("item_id", F.explode(of_length).alias("s")).select("item_id", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
+    of_items = materialise(items.select("_i", F.explode(of_length).alias("s")).select("_i", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
     small = of_items.count() <= BROADCAST_SEEDS
     known = F.broadcast(of_items) if small else of_items
 
-    toks = docs.select("doc_id", tokens(F.col("text")).alias("tok"))
-    of_docs = toks.select("doc_id", F.explode(_seeds("tok", masks)).alias("s")).select("doc_id", F.col("s.pos").alias("pos"), F.col("s.seed").alias("seed"))
-    found = (of_docs.join(known, "seed").select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
-             .groupBy("doc_id", "item_id").agg(F.collect_set("at").alias("ats")))
-    found = materialise(found.withColumnRenamed("doc_id", "_id"))
-
-    n_item = items.select("item_id", "item", F.size("item").alias("n"))
-    cand = found.join(F.broadcast(n_item) if small else n_item, "item_id")
-    again = docs.select("doc_id", "text").join(cand, F.col("doc_id").eqNullSafe(F.col("_id")))
-    again = again.select("doc_id", "item_id", "item", "n", "ats", tokens(F.col("text")).alias("tok"))
+    toks = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), tokens(F.col("text")).alias("tok"))
+    of_docs = toks.select("doc_id", "text_hash", F.explode(_seeds("tok", masks)).alias("s")).select("doc_id", "text_hash", F.col("s.pos").alias("pos"), F.col("s.seed").alias("seed"))
+    found = (of_docs.join(known, "seed").select("doc_id", "text_hash", "_i", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
+             .groupBy("doc_id", "text_hash", "_i").agg(F.collect_set("at").alias("ats")))
+    found = materialise(found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"}))
+
+    n_item = items.select("_i", "item_id", "item", F.size("item").alias("n"))
+    cand = found.join(F.broadcast(n_item) if small else n_item, "_i")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    again = texts.join(cand, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_h")))
+    again = again.select("doc_id", "text_hash", "item_id", "item", "n", "ats", tokens(F.col("text")).alias("tok"))
     lo = lambda a: F.greatest(a, F.lit(0))
     hi = lambda a: F.least(a + F.col("n"), F.size("tok"))
-    cut = again.select("doc_id", "item_id", "item", "n", F.explode(F.transform("ats", lambda a: F.struct(
+    cut = again.select("doc_id", "text_hash", "item_id", "item", "n", F.explode(F.transform("ats", lambda a: F.struct(
         a.alias("at"), F.slice("tok", lo(a) + 1, F.greatest(hi(a) - lo(a), F.lit(0))).alias("part")))).alias("c"))
-    cut = cut.select("doc_id", "item_id", "n", "c.at", F.least(F.lit(window), F.col("n")).alias("w"),
+    cut = cut.select("doc_id", "text_hash", "item_id", "n", "c.at", F.least(F.lit(window), F.col("n")).alias("w"),
                      F.transform("c.part", lambda t, i: (t == F.get("item", i + lo(F.col("c.at")) - F.col("c.at"))).cast("int")).alias("eq"))
     sums = F.transform(F.sequence(F.lit(1), F.size("eq") - F.col("w") + 1), lambda s: F.aggregate(F.slice("eq", s, F.col("w")), F.lit(0), lambda a, x: a + x))
     best = cut.where(F.size("eq") >= F.col("w")).select(
-        "doc_id", "item_id", "w", "at", F.array_max(sums).alias("n_equal"), F.aggregate("eq", F.lit(0), lambda a, x: a + x).alias("all_equal"))
-    good = best.where(F.col("n_equal") >= F.ceil(F.col("w") * share))
+        "doc_id", "text_hash", "item_id", "w", "at", F.array_max(sums).alias("n_equal"), F.aggregate("eq", F.lit(0), lambda a, x: a + x).alias("all_equal"))
+    return best.where(F.col("n_equal") >= F.ceil(F.col("w") * share))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+    """``doc_id, item_id, n_equal, n_compared, n_aligned_equal, doc_word``: one row per document and item found in it.
+
+    ``n_equal`` of the ``n_compared`` words of the best stretch agree, ``n_aligned_equal``
+    words of the whole alignment; ``doc_word`` is the text's word at which the item's first
+    word would lie.  Of equal alignments the first is named.  Items with the same words
+    are one item (smallest item_id).  Null or empty texts and items match nothing.
+    Rows that share a doc_id, or have none, share a row here, as items without an item_id do;
+    ``decontaminate`` judges rows without a doc_id by their texts.
+    """
     top = F.max(F.struct("n_equal", "all_equal", (-F.col("at")).alias("back"), "w")).alias("b")
-    return good.groupBy("doc_id", "item_id").agg(top).select(
+    return _good(docs, benchmark, window, share).groupBy("doc_id", "item_id").agg(top).select(
         "doc_id", "item_id", F.col("b.n_equal").cast("long").alias("n_equal"), F.col("b.w").cast("long").alias("n_compared"),
         F.col("b.all_equal").cast("long").alias("n_aligned_equal"), (-F.col("b.back")).cast("long").alias("doc_word"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found."""
-    bad = materialise(contaminated(docs, benchmark).select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]), "left_anti")
+    """The documents in which no benchmark item was found; rows that share a doc_id share one verdict, those without one are judged by their text."""
+    bad = _good(docs, benchmark, WINDOW, SHARE).select(F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("_h"))
+    bad = materialise(bad.distinct())
+    own = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & own.eqNullSafe(bad["_h"]), "left_anti")
 
 
 def _sql_seed(words: str, mask: str) -> str:
