@@ -8,7 +8,7 @@ from collections import Counter
 import pyarrow as pa
 
 import corpus_pipeline
-from voltloom.llm import decontam, licenses, minmax, mixing
+from voltloom.llm import decontam, licenses, minmax, mixing, urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -127,3 +127,12 @@ def test_rows_and_items_without_an_id(spark):
     left = [tuple(r) for r in decontam.decontaminate(docs, items).collect()]
     assert Counter(left) == Counter([rows[0], rows[4], rows[5], rows[7], rows[8]])
     assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, items).collect()} == {(None, 9), (1, 9), (3, None)}
+
+
+# -- URL filters -----------------------------------------------------------------------------------
+
+def test_path_patterns_keep_their_case(spark):
+    entries = spark.createDataFrame([("own", "OK.example/Ads/", "add", "2024-01-01"), ("own", "Bad.Example", "add", "2024-01-01")], "list string, pattern string, action string, dated string")
+    rows = [(1, "http://ok.Example/Ads/x", "2024-05-01"), (2, "http://ok.example/ads/x", "2024-05-01"), (3, "http://www.bad.example/X", "2024-05-01")]
+    out = urls.evaluate(spark.createDataFrame(rows, "page_id bigint, url string, fetched string"), entries).collect()
+    assert {r["page_id"] for r in out if r["blocked"]} == {1, 3}

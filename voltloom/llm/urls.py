@@ -42,8 +42,10 @@ def intervals(entries: DataFrame) -> DataFrame:
     Of several entries for one pattern on one day an ``add`` wins.  Entries with a null
     list, pattern or date, or another action than add or remove, say nothing.
     """
+    host = F.substring_index("pattern", "/", 1)
+    written = F.concat(F.lower(host), F.expr("substring(pattern, length(substring_index(pattern, '/', 1)) + 1)"))
     e = entries.where(F.col("action").isin("add", "remove")).select(
-        "list", F.regexp_replace(F.lower("pattern"), "/+$", "").alias("pattern"), F.to_date("dated").alias("valid_from"), (F.col("action") == "add").alias("active")).dropna()
+        "list", F.regexp_replace(written, "/+$", "").alias("pattern"), F.to_date("dated").alias("valid_from"), (F.col("action") == "add").alias("active")).dropna()
     days = e.groupBy("list", "pattern", "valid_from").agg(F.max("active").alias("active"))
     by = Window.partitionBy("list", "pattern").orderBy("valid_from")
     return days.select("list", "pattern", "valid_from", F.lead("valid_from").over(by).alias("valid_to"), "active")
@@ -53,8 +55,8 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Captures (page_id, url, fetched) with ``blocked``, ``lists`` (sorted) and ``n_entries`` in force that day.
 
     A null or unreadable URL and a null fetch time meet no entry and pass.  Repeated
-    rows each get the same verdict.  Path patterns keep the case of the path as given
-    in lower-case patterns; query and fragment play no part.
+    rows each get the same verdict.  Hosts match in any case, paths only in the case of
+    the pattern; query and fragment play no part.
     """
     spans = materialise(intervals(entries))
     depth = spans.agg(F.max(F.size(F.split("pattern", "/", -1)) - 1)).first()[0] or 0
