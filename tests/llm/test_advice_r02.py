@@ -8,7 +8,7 @@ from collections import Counter
 import pyarrow as pa
 
 import corpus_pipeline
-from voltloom.llm import decontam, licenses, minmax, mixing, urls
+from voltloom.llm import decontam, licenses, minmax, mixing, secret_scan, urls
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -136,3 +136,12 @@ def test_path_patterns_keep_their_case(spark):
     rows = [(1, "http://ok.Example/Ads/x", "2024-05-01"), (2, "http://ok.example/ads/x", "2024-05-01"), (3, "http://www.bad.example/X", "2024-05-01")]
     out = urls.evaluate(spark.createDataFrame(rows, "page_id bigint, url string, fetched string"), entries).collect()
     assert {r["page_id"] for r in out if r["blocked"]} == {1, 3}
+
+
+# -- secrets ---------------------------------------------------------------------------------------
+
+def test_parts_of_a_scope_are_linked_at_any_distance(spark):
+    far, key = "client_id: app-17\n" + "filler words\n" * 40, "key " + "Ab3" * 10
+    df = spark.createDataFrame([(1, far + key), (2, far + "\n" + key)], "doc_id bigint, text string")
+    got = {r["doc_id"]: [secret_scan.KINDS[s["kind"]] for s in r["linked"]] for r in secret_scan.scan(df).collect()}
+    assert got == {1: ["ident", "opaque"], 2: []}

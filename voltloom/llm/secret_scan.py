@@ -3,7 +3,7 @@
 Strong patterns (assignments, access keys, long hexadecimal strings) are reported as
 they are.  Weak candidates (an account identifier, a random-looking string, an
 endpoint) mean little alone: one is reported only when a complementary part lies
-within ``REACH`` characters in the same scope.  A scope is a block of text without a
+in the same scope, at any distance.  A scope is a block of text without a
 blank line.  Python finds the candidates of a text; the linking is an interval join
 in Spark over the candidates of all texts.  Intervals are met by looking to the
 nearest part of each other kind on either side, so a scope full of parts costs its
@@ -12,6 +12,7 @@ length and not its square.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -37,7 +38,7 @@ BLANK = re.compile(r"\n[ \t\r]*\n")
 KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")  # the order of kinds at one start
 WEAK = KINDS[3:]
 ANCHORS = {"ident": ("assign", "hex", "opaque"), "opaque": ("access", "ident", "endpoint"), "endpoint": ("assign", "access", "hex", "opaque")}
-REACH = 200
+REACH = math.inf  # characters between linked parts; the scope is the only bound
 
 
 def find_base(text: str) -> list[tuple[int, int, int]]:
@@ -72,7 +73,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def linked_parts(parts: DataFrame) -> DataFrame:
-    """Weak parts near a complementary part of the same scope; ``parts`` has (doc_id, text_hash, scope, start, end, kind)."""
+    """Weak parts within ``REACH`` of a complementary part of the same scope; ``parts`` has (doc_id, text_hash, scope, start, end, kind)."""
     by = Window.partitionBy("doc_id", "text_hash", "scope").orderBy("start", "kind")
     back, ahead = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
     near = {}
