@@ -99,7 +99,7 @@ def test_lines_spell_the_repaired_conversation(spark):
     rows = [(1, 0, "user", "Hi.", "p", 1), (1, 0, "user", "Hi.", "p", 1), (1, 1, "user", "Hello.", "p", 1), (1, 3, "assistant", " ", "p", 1), (1, 4, "user", "Bye!", "p", 1)]
     counts, lines = T.repair(spark.createDataFrame(rows, ROWS))
     got = [(r["edit"], r["role"], r["text"]) for r in lines.orderBy("conv", "pos", "at").collect()]
-    assert got == [("K", "user", "Hi."), ("D", "user", "Hi."), ("R", "assistant", "Hello."), ("D", "assistant", " "), ("K", "user", "Bye!"), ("I", "assistant", "")]
+    assert got == [("K", "user", "Hi."), ("D", "user", "Hi."), ("I", "assistant", ""), ("K", "user", "Hello."), ("D", "assistant", " "), ("R", "assistant", "Bye!")]
     assert counts.first().asDict() == {"conv": "1", "conv_id": 1, "gaps": 1, "blank": 1, "duplicate": 1, "truncated": 0, "illegal": 2, "cost": 3 + 2 + 3 + 2}
 
 
