@@ -105,15 +105,23 @@ def learn(work: DataFrame, levels: Sequence[Level], residual: str, by: Sequence[
     fine = work.where(r.isNotNull()).groupBy(*by, *keys).agg(
         F.count("*").alias("_n"), F.avg(r).alias("_m"), (F.var_pop(r) * F.count("*")).alias("_m2"))
     long = fine.select(*by, "_n", "_m", "_m2", F.inline(level_rows(levels)))
-    g = long.groupBy(*by, "level", "key").agg(
-        F.sum("_n").alias("count"), F.sum(F.col("_n") * F.col("_m")).alias("_s"), F.sum("_m2").alias("_w"),
-        F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_q"))
+    g = long.groupBy(*by, "level", "key").agg(*level_sums())
+    return shrunk(g, [*by, "level", "key"], blend, cap, shrink_k)
+
+
+def level_sums() -> list[Column]:
+    """Moments of a level from those of its finest keys (``_n``, ``_m``, ``_m2``)."""
+    return [F.sum("_n").alias("count"), F.sum(F.col("_n") * F.col("_m")).alias("_s"), F.sum("_m2").alias("_w"), F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_q")]
+
+
+def shrunk(g: DataFrame, keep: Sequence[str], blend: float, cap: float, shrink_k: float) -> DataFrame:
+    """Lookup rows from the sums of ``level_sums``: mean, sample std and the shrunk, blended, capped correction."""
     mean = F.col("_s") / F.col("count")
     spread = F.greatest(F.col("_w") + F.col("_q") - F.col("_s") * mean, F.lit(0.0))
     out = g.withColumns({"mean": mean, "std": F.when(F.col("count") > 1, F.sqrt(spread / (F.col("count") - 1))),
                          "shrink_weight": F.col("count") / (F.col("count") + F.lit(float(shrink_k)))})
     corr = clip(F.col("mean") * F.col("shrink_weight") * F.lit(float(blend)), -cap, cap)
-    return out.select(*by, "level", "key", corr.alias("correction"), "mean", "count", "std", "shrink_weight", F.abs(corr).alias("abs_correction"))
+    return out.select(*keep, corr.alias("correction"), "mean", "count", "std", "shrink_weight", F.abs(corr).alias("abs_correction"))
 
 
 def resolve(frame: DataFrame, lookup: DataFrame, levels: Sequence[Level], by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
