@@ -1,12 +1,12 @@
 """Exact group quantiles that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer, which a hot
-group makes unbounded.  Here equal values are folded before the shuffle, the
-folded values are spread by (group, value bucket, sub-bucket), counts locate the
-wanted ranks first among the buckets and then among the sub-buckets of those
-buckets, and only the sub-buckets that hold one are ordered.  A hot group is split
-over as many tasks as its values fill sub-buckets, also when they all lie in one
-bucket; a sub-bucket is 2e-7 of its value wide, and equal values are one row in it.
+group makes unbounded.  Here equal values are folded before the shuffle and written
+once with their value bucket; counts per bucket locate the wanted ranks, and only
+buckets that hold one are ordered.  Where such a bucket has more than ``MOST`` distinct
+values, a second level of sub-buckets, 2e-7 of the value wide, is counted first and
+only the sub-buckets with a wanted rank are ordered; equal values are one row in it.
+The result does not depend on which way is taken.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scratch import materialise
+
 _PER_UNIT = 1024.0  # buckets per unit of log1p: neighbours differ by 0.1 %
 _PARTS = 4096.0     # sub-buckets of a bucket
+MOST = 200_000      # distinct values of a bucket that one task orders
 
 
 def _bucket(v: Column) -> tuple[Column, Column]:
@@ -36,17 +39,16 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     Null keys form groups of their own; groups without a value are absent.
     ``count_as``, ``distinct_as`` and ``mean_as`` add the number of values, of
     distinct values, and their mean.
-    The source is read once: all branches below share the exchange of the folded values.
+    The source is read once, into a stored table of folded values.
     """
     v = F.col(value).cast("double")
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_one"))
     base = df.select(key.alias("_g"), v.alias("_v")).where("_v is not null and not isnan(_v)")
     bucket, part = _bucket(F.col("_v"))
-    folded = base.withColumns({"_b": bucket, "_s": part}).groupBy("_g", "_b", "_s", "_v").agg(F.count("*").alias("_n"))
-    spread = folded.repartition("_g", "_b", "_s")
+    folded = materialise(base.groupBy("_g", "_v").agg(F.count("*").alias("_n")).withColumn("_b", bucket))
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = spread.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
+    hist = folded.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
     hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group),
                              "_mean": F.sum("_bs").over(group) / F.sum("_bn").over(group)})
 
@@ -62,17 +64,21 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     def wanted(start: Column, end: Column) -> Column:
         return reduce(or_, [inside(r, start, end) for r in all_ranks])
 
+    carried = ["_total", "_distinct", "_mean"]
     before = F.col("_end") - F.col("_bn")
-    near = hist.where(wanted(before, F.col("_end"))).select("_g", "_b", "_total", "_distinct", "_mean", before.alias("_before"))
-    sub = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)  # at most _PARTS + 1 rows
-    parts = spread.join(near, ["_g", "_b"]).groupBy("_g", "_b", "_s").agg(
-        F.sum("_n").alias("_sn"), *[F.first(x).alias(x) for x in ("_total", "_distinct", "_mean", "_before")])
-    target = parts.withColumn("_end", F.sum("_sn").over(sub) + F.col("_before"))
-    before = F.col("_end") - F.col("_sn")
-    target = target.where(wanted(before, F.col("_end"))).select("_g", "_b", "_s", "_total", "_distinct", "_mean", before.alias("_before"))
-
-    order = Window.partitionBy("_g", "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    run = spread.join(target, ["_g", "_b", "_s"]).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
+    near = materialise(hist.where(wanted(before, F.col("_end"))).select("_g", "_b", "_bd", *carried, before.alias("_before")))
+    at, held = ["_g", "_b"], folded
+    target = near.drop("_bd")
+    if (near.agg(F.max("_bd")).first()[0] or 0) > MOST:
+        at, held = ["_g", "_b", "_s"], folded.withColumn("_s", part)
+        sub = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)  # at most _PARTS + 1 rows
+        parts = held.join(target, ["_g", "_b"]).groupBy(*at).agg(F.sum("_n").alias("_sn"), *[F.first(x).alias(x) for x in (*carried, "_before")])
+        parts = parts.withColumn("_end", F.sum("_sn").over(sub) + F.col("_before"))
+        before = F.col("_end") - F.col("_sn")
+        target = parts.where(wanted(before, F.col("_end"))).select(*at, *carried, before.alias("_before"))
+
+    order = Window.partitionBy(*at).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    run = held.join(target, at).withColumn("_to", F.sum("_n").over(order) + F.col("_before"))
     start, end = F.col("_to") - F.col("_n"), F.col("_to")
     found = run.where(wanted(start, end))
     aggs = []

@@ -51,6 +51,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has few splits for the session's cores, as a file of one row group has; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df._jdf.rdd().getNumPartitions() <= cores else df
+
+
 def _spark_cols(entries: Sequence[Entry]) -> list:
     return [F.expr(e[1]).alias(e[0]) for e in entries]
 
@@ -181,7 +187,7 @@ STAGES = {
 def replay(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """Replay cube; name ``cols`` to keep the scan narrow."""
     want = [e for e in BT if not cols or e[0] in cols]
-    return table(spark, sf_dir, "lineitem").select(*_spark_cols(want))
+    return spread(table(spark, sf_dir, "lineitem").select(*_spark_cols(want)))
 
 
 SQL_BT = f"v_bt AS (SELECT {_duck_cols(BT)} FROM lineitem)"
