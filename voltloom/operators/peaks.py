@@ -227,13 +227,53 @@ def capture_lookup(days: DataFrame, by: Sequence[str] = (), min_days: int = 3) -
     return g.where((c("count") >= min_days) | (c("level") == "global")).withColumn("hit", F.struct(*vals))
 
 
+def select_timing(df: DataFrame, keys: Sequence[str], base: str, scope: Column, sources: Mapping[str, str], hours: Sequence[int] = PEAK_HOURS, min_margin: float = 1.0, consensus: int = 1,
+                  max_spread: float = 0.0, required: str | None = None, blocked: Column | None = None) -> DataFrame:
+    """The peak hour of each day (``keys``) that several forecasts agree on, else the base forecast's own.
+
+    A source (name to column, by falling priority) votes for the hour of its highest value among ``hours``; its
+    confidence is the lead over its second hour, and below ``min_margin`` it does not vote.  Votes within ``max_spread`` hours of one another
+    form a cluster, which needs ``consensus`` votes and that of ``required``, if named.  The largest cluster wins, then the one whose least confidence is
+    greatest, then priority; its hour is that of its source of highest priority.  ``blocked`` days keep the base hour.
+
+    Columns: ``Base_PeakHour, Timing_Hour, Timing_Source, Timing_Override, Timing_Confidence``.  A day has at most 24 hours, so its votes are one small array.
+    """
+    live = df.where(scope & c(base).isNotNull())
+    per_hour = live.groupBy(*keys, "Hour").agg(F.max(base).alias("_b"), F.max(F.coalesce(blocked, F.lit(False)) if blocked is not None else F.lit(False)).alias("_stop"), *[F.max(col).alias(f"_v{i}") for i, col in enumerate(sources.values())])
+    early = -c("Hour")
+    day = per_hour.groupBy(*keys).agg(F.max_by("Hour", F.struct("_b", early)).alias("Base_PeakHour"), F.max("_stop").alias("_stop"), *[
+        F.array_sort(F.collect_list(F.when(c(f"_v{i}").isNotNull() & c("Hour").isin(*hours), F.struct((-c(f"_v{i}")).alias("v"), c("Hour").alias("h"))))).alias(f"_l{i}") for i in range(len(sources))])
+    votes = []
+    for i, name in enumerate(sources):
+        ranked = c(f"_l{i}")
+        margin = F.when(F.size(ranked) > 1, F.try_element_at(ranked, F.lit(2))["v"] - ranked[0]["v"]).otherwise(F.lit(1e18))
+        vote = F.struct(F.lit(i).alias("p"), F.lit(name).alias("s"), F.try_element_at(ranked, F.lit(1))["h"].alias("h"), margin.alias("m"))
+        votes.append(F.when((F.size(ranked) > 0) & (margin >= min_margin), vote))
+    day = day.withColumn("_votes", F.array_compact(F.array(*votes)))
+
+    def cluster(x: Column) -> Column:
+        near = F.filter("_votes", lambda y: F.abs(y["h"] - x["h"]) <= max_spread)
+        return F.struct(F.size(near).alias("n"), F.array_min(F.transform(near, lambda y: y["m"])).alias("m"), (-F.array_min(F.transform(near, lambda y: y["p"]))).alias("p"), (-x["p"]).alias("own"),
+                        F.exists(near, lambda y: y["s"] == required if required else F.lit(True)).alias("has"), F.array_min(near).alias("best"))
+
+    found = F.filter(F.transform("_votes", cluster), lambda k: (k["n"] >= consensus) & k["has"])
+    day = day.withColumn("_top", F.array_max(F.transform(found, lambda k: F.struct(k["n"].alias("n"), k["m"].alias("m"), k["p"].alias("p"), k["own"].alias("own"), k["best"].alias("best")))))
+    use = ~c("_stop") & c("_top").isNotNull()
+    hour = F.when(use, c("_top.best.h")).otherwise(c("Base_PeakHour"))
+    moved = use & (c("_top.best.h") != c("Base_PeakHour"))
+    why = F.when(c("_stop"), "base_strong_hot_ramp_fallback").when(F.size("_votes") == 0, "base_no_timing_candidate").when(c("_top").isNull(), "base_no_timing_consensus")
+    label = F.coalesce(why, F.concat(c("_top.best.s"), F.when(moved, "_consensus").otherwise("_aligned")))
+    return day.select(*keys, "Base_PeakHour", hour.alias("Timing_Hour"), label.alias("Timing_Source"), moved.alias("Timing_Override"), F.when(use, c("_top.m")).alias("Timing_Confidence"))
+
+
 def apply_capture(df: DataFrame, keys: Sequence[str], lookup: DataFrame, base: str, scope: Column, by: Sequence[str] = (), hours: Sequence[int] = PEAK_HOURS, cooling: Column | None = None,
                   strong: Column | None = None, cap: float = 9.0, strong_cap: float = 9.0, floor: float = 0.0, strong_floor: float = 4.0, min_abs: float = 0.25, spread: float = 1.0,
                   block_negative: bool = True, anchor_min_learned: float = 4.0, anchor_min_temp: float = 105.0, slope_cap: float = 4.0, warmer: str | None = None, warmer_fraction: float = 0.25,
-                  recent_anchor: DataFrame | None = None) -> DataFrame:
+                  recent_anchor: DataFrame | None = None, timing: DataFrame | None = None, max_extra: float | None = None) -> DataFrame:
     """Day targets from the learned, same-hour and lag-24 anchors, spread over the peak hours by Gaussian weights of greatest value 1.
 
-    ``keys`` name a day; ``lookup`` comes from ``capture_lookup``.
+    ``keys`` name a day; ``lookup`` comes from ``capture_lookup``.  With ``timing`` (from ``select_timing``) the weights lie around the selected hour;
+    where that is not the base forecast's, the selected hour is raised to the day's target, by ``max_extra`` beyond the day's lift at most, and no other hour beyond the target.
     """
     live = scope & ~(cooling if cooling is not None else F.lit(False)) & c(base).isNotNull()
     early = -epoch_second("DT")
@@ -265,12 +305,26 @@ def apply_capture(df: DataFrame, keys: Sequence[str], lookup: DataFrame, base: s
                    F.when(blocked, "negative_learned_residual").when(thin, "insufficient_anchor_support").when(amount < min_abs, "below_min_correction").otherwise("applied").alias("_why"), amount.alias("_amt"), "_hours")
     out = null_safe_join(df, day, keys)
     use = live & yes(c("_why") == "applied") & c("Hour").isin(*hours)
+    if timing is not None:
+        out = null_safe_join(out, timing.select(*keys, c("Timing_Hour").alias("_th"), c("Timing_Override").alias("_move")), keys)
+        at = out.where(live & (c("Hour") == c("_th")) & c("Hour").isin(*hours)).groupBy(*keys).agg(F.max(base).alias("_sb"))
+        out = null_safe_join(out, at, keys).withColumn("_ph", F.coalesce("_th", "_ph"))
+
     def bell(h: Column) -> Column:
         return F.exp(-0.5 * F.pow((h - c("_ph")) / F.lit(max(float(spread), 1e-6)), F.lit(2.0)))
 
     # the day's greatest weight comes from its set of live hours, so no window runs over the day's rows
     scaled = bell(c("Hour")) / F.array_max(F.transform("_hours", bell))
-    out = out.withColumn("Peak_Capture_MWH", F.when(use, c("_amt") * scaled).otherwise(0.0))
+    lift = c("_amt") * scaled
+    if timing is not None:
+        goal = c("_bp") + c("_amt")
+        raised = F.greatest(c("_amt"), goal - c("_sb"))
+        if max_extra is not None:
+            raised = F.least(raised, c("_amt") + max_extra)
+        moved = F.coalesce(c("_move") & c("_sb").isNotNull() & (raised > c("_amt") + 1e-9), F.lit(False))
+        other = F.when(c("Hour") != c("_ph"), F.least(raised * scaled, clip(goal - c(base), lo=0.0))).otherwise(raised * scaled)
+        lift = F.when(moved, clip(other, lo=0.0)).otherwise(lift)
+    out = out.withColumn("Peak_Capture_MWH", F.when(use, lift).otherwise(0.0)).drop("_th", "_move", "_sb")
     return out.withColumns({"Peak_Capture_Source": F.when(live, F.coalesce(c("_why"), F.lit("out_of_scope"))).otherwise("out_of_scope"),
                             "Peak_Capture_Forecast_MWH": clip(c(base) + c("Peak_Capture_MWH"), lo=0.0)}).drop("_ph", "_bp", "_lr", "_why", "_amt", "_hours", "Capture_Level")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..core.scratch import materialise
 from ..operators import peaks as P
 from ..operators import scorecards as SC
 from .base import ctes, load, query, replay
@@ -107,13 +108,20 @@ def captured(spark, d):
     return h, scope, lk
 
 
-@query("cor14_peak_capture_lookup", ctes("bt") + "," + CAP_SQL + """
-SELECT 'HorizonBucket+DailyMaxTempBucket' AS level, hb || '|' || tb AS key, CAST(count(*) AS BIGINT) AS n, avg(r) AS r, avg(r7) AS r7, avg(r24) AS r24, avg(sl) AS sl FROM d2 GROUP BY 2 HAVING count(*) >= 3
-UNION ALL SELECT 'global', 'all', CAST(count(*) AS BIGINT), avg(r), avg(r7), avg(r24), avg(sl) FROM d2""", r6=["r", "r7", "r24", "sl"])
+CAPTURE_KEYS = {"HorizonBucket+Month+DailyMaxTempBucket+CloudCoverBucket": ("hb", "mo", "tb", "cb"), "HorizonBucket+DailyMaxTempBucket+CloudCoverBucket": ("hb", "tb", "cb"), "HorizonBucket+DailyMaxTempBucket": ("hb", "tb"),
+                "DailyMaxTempBucket+CloudCoverBucket": ("tb", "cb"), "DailyMaxTempBucket": ("tb",), "HorizonBucket": ("hb",), "global": ()}
+ALL_LEVELS = " UNION ALL ".join(
+    f"SELECT '{name}' AS level, {' || chr(124) || '.join(f'CAST({k} AS VARCHAR)' for k in ks) if ks else chr(39) + 'all' + chr(39)} AS key, CAST(count(*) AS BIGINT) AS n, avg(r) AS r, avg(r7) AS r7, avg(r24) AS r24, avg(sl) AS sl FROM d2 "
+    + (f"GROUP BY {', '.join(ks)} HAVING count(*) >= 3" if ks else "HAVING count(*) > 0") for name, ks in CAPTURE_KEYS.items())
+
+
+def lookup_rows(lk):
+    return lk.select("level", "key", F.col("count").alias("n"), F.col("PeakResidual").alias("r"), F.col("SameHour7Residual").alias("r7"), F.col("Lag24Residual").alias("r24"), F.col("Lag24RampSlope").alias("sl"))
+
+
+@query("cor14_peak_capture_lookup", ctes("bt") + "," + CAP_SQL + "\n" + ALL_LEVELS, r6=["r", "r7", "r24", "sl"])
 def _(spark, d):
-    _, _, lk = captured(spark, d)
-    o = lk.where(F.col("level").isin("HorizonBucket+DailyMaxTempBucket", "global"))
-    return o.select("level", "key", F.col("count").alias("n"), F.col("PeakResidual").alias("r"), F.col("SameHour7Residual").alias("r7"), F.col("Lag24Residual").alias("r24"), F.col("Lag24RampSlope").alias("sl"))
+    return lookup_rows(captured(spark, d)[2])
 
 
 CAPTURE_SQL = CAP_SQL + """,
@@ -147,14 +155,69 @@ def _(spark, d):
 _PS = "Hour BETWEEN 16 AND 20 AND coalesce(Temperature_DailyMax,0) >= 100 AND coalesce(run100,0) >= 1"
 
 
-@query("cor16_heat_persistence_lookup", ctes("bt") + "," + HEAT_SQL + f""",
-dk AS (SELECT series, "Date", max(Raw_Forecast_MWH) AS bp, max(Actual_MWH) AS ap, max(Temperature_DailyMax) AS tp FROM v_ht WHERE {_PS} GROUP BY 1, 2)
-SELECT CASE WHEN tp < 105 THEN '100-105' ELSE '105+' END AS key, CAST(count(*) AS BIGINT) AS n, avg(ap-bp) AS r FROM dk GROUP BY 1 HAVING count(*) >= 3""", r6=["r"])
+PERSIST_SQL = CAP_SQL.replace(_SCOPE, _PS)
+
+
+def persisting():
+    return P.hot_scope(100.0) & P.yes(F.col("ConsecutiveExtremeHotDays100") >= 1)
+
+
+def persisted(spark, d):
+    h = materialise(heated(spark, d), spark)  # learned from, timed and applied to
+    return h, P.capture_lookup(P.capture_days(h, ["series", "Date"], RAW, persisting()))
+
+
+@query("cor16_heat_persistence_lookup", ctes("bt") + "," + PERSIST_SQL + "\n" + ALL_LEVELS, r6=["r", "r7", "r24", "sl"])
 def _(spark, d):
-    h = heated(spark, d)
-    scope = P.hot_scope(100.0) & P.yes(F.col("ConsecutiveExtremeHotDays100") >= 1)
-    lk = P.capture_lookup(P.capture_days(h, ["series", "Date"], RAW, scope)).where("level = 'DailyMaxTempBucket'")
-    return lk.select("key", F.col("count").alias("n"), F.col("PeakResidual").alias("r"))
+    return lookup_rows(persisted(spark, d)[1])
+
+
+TIMING = {"scenario": "hotsc", "first_benchmark": "bm1", "second_benchmark": "bm2"}
+_VOTES = " UNION ALL ".join(f"""SELECT series, "Date", {i} AS p, '{n}' AS s, l[1].h AS h, coalesce(l[2].v - l[1].v, 1e18) AS m FROM (SELECT series, "Date", list_sort(list({{'v': -v, 'h': Hour}})) AS l FROM (SELECT series, "Date", Hour, max({c}) AS v FROM v_ht WHERE {_PS} GROUP BY ALL) GROUP BY ALL)"""
+                            for i, (n, c) in enumerate(TIMING.items()))
+TIMING_SQL = PERSIST_SQL + f""",
+vo AS (SELECT * FROM ({_VOTES}) WHERE m >= 0.5),
+cl AS (SELECT a.series, a."Date", a.p, count(*) AS n, min(b.m) AS cf, min(b.p) AS bp, arg_min(b.h, b.p) AS h, arg_min(b.s, b.p) AS s FROM vo a JOIN vo b ON a.series = b.series AND a."Date" = b."Date" AND abs(a.h - b.h) <= 1 GROUP BY ALL HAVING count(*) >= 2),
+tp AS (SELECT *, row_number() OVER (PARTITION BY series, "Date" ORDER BY n DESC, cf DESC, bp, p) AS rn FROM cl),
+tm AS (SELECT d2.series, d2."Date", ph, coalesce(tp.h, ph) AS th, CASE WHEN tp.h IS NOT NULL THEN tp.s || CASE WHEN tp.h <> ph THEN '_consensus' ELSE '_aligned' END
+  WHEN EXISTS (SELECT 1 FROM vo WHERE vo.series = d2.series AND vo."Date" = d2."Date") THEN 'base_no_timing_consensus' ELSE 'base_no_timing_candidate' END AS src, tp.cf FROM d2 LEFT JOIN tp ON tp.series = d2.series AND tp."Date" = d2."Date" AND rn = 1)"""
+
+
+def timed(h):
+    return P.select_timing(h, ["series", "Date"], RAW, persisting(), TIMING, min_margin=0.5, consensus=2, max_spread=1.0)
+
+
+@query("cor16_peak_timing", ctes("bt") + "," + TIMING_SQL + """
+SELECT series, CAST("Date" AS VARCHAR) AS Date, CAST(ph AS INT) AS base_hour, CAST(th AS INT) AS hour, src, cf FROM tm""", r6=["cf"])
+def _(spark, d):
+    o = timed(materialise(heated(spark, d), spark))
+    return o.select("series", F.col("Date").cast("string").alias("Date"), F.col("Base_PeakHour").alias("base_hour"), F.col("Timing_Hour").alias("hour"), F.col("Timing_Source").alias("src"), F.col("Timing_Confidence").alias("cf"))
+
+
+def _first(x):
+    return "CASE " + " ".join(f"WHEN k{i}.n IS NOT NULL THEN k{i}.{x}" for i in range(1, 7)) + f" ELSE k7.{x} END"
+
+
+_KS = list(CAPTURE_KEYS.values())
+PERSIST_CAPTURE_SQL = TIMING_SQL.replace("k1 AS (", "o1 AS (").replace("k2 AS (", "o2 AS (").replace("k3 AS (", "o3 AS (") + ",\n" + ",\n".join(
+    f"k{i} AS (SELECT {''.join(k + ', ' for k in ks)}count(*) n, avg(r) r, avg(r7) r7, avg(r24) r24, avg(sl) sl FROM d2 {('GROUP BY ' + ', '.join(ks) + ' HAVING count(*) >= 3') if ks else ''})" for i, ks in enumerate(_KS, 1)) + f""",
+ld AS (SELECT d2.*, coalesce({_first('r')}, 0) AS lr, s7 + coalesce({_first('r7')}, {_first('r')}, 0) AS t7, l24 + coalesce({_first('r24')}, {_first('r')}, 0) AS t24, l24 + least(greatest(coalesce({_first('sl')}, 0), -4), 4) * greatest(coalesce(rp, 0), 0) AS ts
+  FROM d2 {' '.join('LEFT JOIN k%d ON %s' % (i, ' AND '.join(f'k{i}.{k} = d2.{k}' for k in ks) or 'TRUE') for i, ks in enumerate(_KS, 1))}),
+la AS (SELECT *, least(greatest(greatest(bp + greatest(lr, 0), CASE WHEN lr >= 4 OR tp >= 105 THEN greatest(t7, t24, ts) ELSE bp END) - bp, 0), 9) AS amt FROM ld),
+lb AS (SELECT la.*, th, th <> la.ph AS mv, CASE WHEN lr < 0 THEN 'negative_learned_residual' WHEN amt < 0.25 THEN 'below_min_correction' ELSE 'applied' END AS why FROM la JOIN tm ON tm.series = la.series AND tm."Date" = la."Date"),
+lc AS (SELECT v_ht.*, why, amt, bp, lb.ph, lb.th, mv, exp(-0.5*pow(v_ht.Hour - lb.th, 2)) AS w FROM v_ht JOIN lb ON lb.series = v_ht.series AND lb."Date" = v_ht."Date" WHERE {_PS.replace('Hour', 'v_ht.Hour')}),
+le AS (SELECT *, w / max(w) OVER (PARTITION BY series, "Date") AS g, max(CASE WHEN Hour = th THEN Raw_Forecast_MWH END) OVER (PARTITION BY series, "Date") AS sb FROM lc),
+lf AS (SELECT *, least(greatest(amt, bp + amt - sb), amt + 5) AS up FROM le),
+v_pc AS (SELECT *, CASE WHEN why <> 'applied' THEN 0 WHEN mv AND sb IS NOT NULL AND up > amt + 1e-9 THEN CASE WHEN Hour <> th THEN least(up * g, greatest(bp + amt - Raw_Forecast_MWH, 0)) ELSE up * g END ELSE amt * g END AS lift FROM lf)"""
+
+
+@query("cor16_heat_persistence_capture", ctes("bt") + "," + PERSIST_CAPTURE_SQL + "\nSELECT row_id, th AS hour, why, lift, greatest(Raw_Forecast_MWH + lift, 0) AS fc FROM v_pc", r6=["lift", "fc"])
+def _(spark, d):
+    h, lk = persisted(spark, d)
+    t = timed(h)
+    o = P.apply_capture(h, ["series", "Date"], lk, RAW, persisting(), strong_floor=0.0, timing=t, max_extra=5.0).where(persisting())
+    o = o.join(t.select("series", "Date", "Timing_Hour"), ["series", "Date"])
+    return o.select("row_id", F.col("Timing_Hour").alias("hour"), F.col("Peak_Capture_Source").alias("why"), F.col("Peak_Capture_MWH").alias("lift"), F.col("Peak_Capture_Forecast_MWH").alias("fc"))
 
 
 @query("cor15_targeted_missing_rules", ctes("bt") + """
