@@ -6,9 +6,11 @@ exponential key -ln(u) / weight, documents are taken in the order of their keys,
 the prefix sum of their sizes decides where to stop.
 
 No source is ever sorted in one task.  Keys fall into buckets sized by the source's
-row count, bucket sums place the stop in one bucket, and only that bucket is ordered.
-The stop is then a key per source, so the decision for a row needs that one small
-table and nothing else; texts are not shuffled.
+row count, bucket sums place the stop in one bucket, and only that bucket is ordered,
+equal keys folded to one row.  The stop is then a key per source and how many of the
+rows that share it are taken, so the decision for a row needs that one small table;
+texts are not shuffled.  Rows that share the stop key are equal in id and text; they
+are folded to one row with a count before some of them are taken.
 """
 
 from __future__ import annotations
@@ -82,10 +84,12 @@ def _bucket() -> Column:
 
 
 def stops(numbers: DataFrame) -> DataFrame:
-    """``source, source_size, target, epochs, stop_key, stop_size``: rows with a smaller (key, size) than the stop are taken once more.
+    """``source, source_size, target, epochs, samples, stop_key, stop_size, stop_rows``.
 
-    The document that reaches over the rest of the target is taken when its middle
-    still lies within; a source whose target is whole epochs has no stop key.
+    Rows with a smaller (key, size) than the stop are taken once more, and ``stop_rows``
+    of those that share it.  The document that reaches over the rest of the target is
+    taken when its middle still lies within; a source whose target is whole epochs has
+    no stop key.
     """
     sizes = numbers.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_rows"), F.avg("weight").alias("_mean"))
     sizes = materialise(sizes)
@@ -100,23 +104,54 @@ def stops(numbers: DataFrame) -> DataFrame:
     sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
     last = materialise(sums.where("_before <= _rest AND _before + _n > _rest").select(F.col("source").alias("_s"), F.col("_b").alias("_lb"), "_before"))
     edge = placed.join(last, placed["source"].eqNullSafe(last["_s"]) & (F.col("_b") == F.col("_lb")))
+    edge = edge.groupBy("source", "key", "size", "_rest", "_before").agg(F.count(F.lit(1)).alias("_c"))
     inside = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    mid = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
-    out = edge.withColumn("_out", mid > F.col("_rest")).where("_out").groupBy("source").agg(F.min(F.struct("key", "size")).alias("stop"))
+    first_mid = F.col("_before") + F.coalesce(F.sum(F.col("size") * F.col("_c")).over(inside), F.lit(0)) + F.col("size") / 2
+    fits = F.greatest(F.lit(0), F.floor((F.col("_rest") - first_mid) / F.col("size")) + 1).cast("long")
+    out = edge.withColumn("_k", fits).where("_k < _c").groupBy("source").agg(F.min(F.struct("key", "size", "_k")).alias("stop"))
     last_b = last.select(F.col("_s").alias("_q"), "_lb")
-    beyond = placed.join(last_b, placed["source"].eqNullSafe(last_b["_q"]) & (F.col("_b") > F.col("_lb"))).groupBy("source").agg(F.min(F.struct("key", "size")).alias("next"))
+    beyond = placed.join(last_b, placed["source"].eqNullSafe(last_b["_q"]) & (F.col("_b") > F.col("_lb"))).groupBy("source").agg(F.min(F.struct("key", "size", F.lit(0).cast("long").alias("_k"))).alias("stop"))
     # no row of the bucket lies beyond the stop: the first of the buckets after it does
-    stop = out.unionByName(beyond.withColumnRenamed("next", "stop")).groupBy("source").agg(F.min("stop").alias("stop")).select(F.col("source").alias("_s"), "stop")
+    stop = out.unionByName(beyond).groupBy("source").agg(F.min("stop").alias("stop")).select(F.col("source").alias("_s"), "stop")
     done = plan.join(stop, plan["source"].eqNullSafe(stop["_s"]), "left")
-    return materialise(done.select("source", "source_size", "target", "epochs", (F.col("_rest") > 0).alias("samples"), F.col("stop.key").alias("stop_key"), F.col("stop.size").alias("stop_size")))
+    return materialise(done.select("source", "source_size", "target", "epochs", (F.col("_rest") > 0).alias("samples"), F.col("stop.key").alias("stop_key"), F.col("stop.size").alias("stop_size"), F.col("stop._k").alias("stop_rows")))
 
 
-def times(plan_rows: DataFrame) -> Column:
-    """How often a row joined with its source's stop is taken."""
+def _at_stop() -> Column:
+    return F.coalesce(F.col("samples") & (F.col("size") > 0) & (F.col("key") == F.col("stop_key")) & (F.col("size") == F.col("stop_size")), F.lit(False))
+
+
+def times() -> Column:
+    """How often a row joined with its source's stop is taken; one that shares the stop key perhaps once more."""
     sampled = F.col("samples") & (F.col("size") > 0) & (F.col("stop_key").isNull() | (F.struct("key", "size") < F.struct(F.col("stop_key").alias("key"), F.col("stop_size").alias("size"))))
     return F.col("epochs") + F.when(sampled, 1).otherwise(0)
 
 
+def _shared(ties: DataFrame, row: Sequence[str]) -> DataFrame:
+    """``row`` and the stop's columns of the rows that share a stop key, equal ones folded: ``_n`` of them, ``_more`` of which are taken once more.
+
+    The folded rows of a source are numbered in buckets of their hash, so no task holds them all.
+    """
+    stop = ["source", "epochs", "stop_rows"]
+    f = ties.groupBy(*stop, *row).agg(F.count(F.lit(1)).alias("_n"))
+    f = f.withColumn("_h", F.xxhash64(*row)).withColumn("_b", F.pmod("_h", F.lit(4096)))
+    of = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most 4096 rows
+    sums = f.groupBy("source", "_b").agg(F.sum("_n").alias("_bn")).select(F.col("source").alias("_s"), F.col("_b").alias("_sb"), F.coalesce(F.sum("_bn").over(of), F.lit(0)).alias("_before"))
+    f = f.join(sums, f["source"].eqNullSafe(sums["_s"]) & (F.col("_b") == F.col("_sb")))
+    inside = Window.partitionBy("source", "_b").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("stop_rows") - F.col("_before") - F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return f.withColumn("_more", F.greatest(F.lit(0), F.least("_n", left))).drop("_h", "_b", "_s", "_sb", "_before")
+
+
+def _copies(rows: DataFrame, n: Column) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``_i``; a count of any size is dealt out in two steps."""
+    step = 10_000
+    parts = rows.withColumn("_total", n.cast("long")).where("_total > 0").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_total") - 1) / step))))
+    size = F.least(F.lit(step).cast("long"), F.col("_total") - F.col("_part") * step)
+    first = F.col("_part") * step
+    return parts.withColumn("_i", F.explode(F.sequence(first, first + size - 1))).drop("_total", "_part")
+
+
 def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
     p = plan.withColumnRenamed("source", "_s")
     return rows.join(p, rows["source"].eqNullSafe(p["_s"])).drop("_s")
@@ -126,21 +161,30 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -
     """``doc_id, size, source_size, target, taken`` for every row.
 
     A null source is a source of its own, last in order; null and empty texts have size
-    0 and are never taken.  Rows equal in every respect share one key: they stand on the
-    same side of the stop, which moves a source's sum by their size at most.
+    0 and are never taken.  Rows equal in id and text share one key; where the stop falls
+    on them, as many are taken once more as the target has room for.
     """
     numbers = materialise(scored(docs, labels, seed))
-    out = _with_plan(numbers, stops(numbers))
-    return out.select("doc_id", "size", "source_size", "target", (times(out) * F.col("size")).alias("taken"))
+    all_rows = _with_plan(numbers, stops(numbers))
+    cols = ["doc_id", "size", "source_size", "target"]
+    single = all_rows.where(~_at_stop()).select(*cols, (times() * F.col("size")).alias("taken"))
+    tied = _shared(all_rows.where(_at_stop()), cols)
+    tied = _copies(tied, F.col("_n")).select(*cols, ((F.col("epochs") + F.when(F.col("_i") < F.col("_more"), 1).otherwise(0)) * F.col("size")).alias("taken"))
+    return single.unionByName(tied)
 
 
 def mixed_rows(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -> DataFrame:
-    """The mix itself: every row as often as ``mix`` takes it, with the columns of ``docs``."""
+    """The mix itself: every row as often as ``mix`` takes it, with the columns of ``docs``.
+
+    Of rows with equal id and text but other columns that differ, those with the smaller
+    hash are taken where only some are.
+    """
     plan = stops(materialise(scored(docs, labels, seed)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = scored(docs.withColumn("_row", row), labels, seed, keep=("_row",))
-    out = _with_plan(keyed, plan)
-    return out.withColumn("_k", F.explode(F.array_repeat(F.lit(0), times(out).cast("int")))).select("_row.*")
+    keyed = _with_plan(scored(docs.withColumn("_row", row), labels, seed, keep=("_row",)), plan)
+    single = _copies(keyed.where(~_at_stop()), times()).select("_row.*")
+    tied = _shared(keyed.where(_at_stop()), ["_row"])
+    return single.unionByName(_copies(tied, F.col("epochs") * F.col("_n") + F.col("_more")).select("_row.*"))
 
 
 SQL = """
