@@ -16,8 +16,12 @@ folded to alignments first; texts are read again for the documents with a hit.
 
 from __future__ import annotations
 
-from functools import reduce
+import functools
+import itertools
+import math
+import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +29,6 @@ from voltloom.core.scratch import materialise
 from voltloom.llm.base import query, table, tokens
 
 MASKS = ("11110111", "1110110011", "11010010111")
-SQL_MASKS = ("11101001101", "1101011011")  # of the DuckDB text, which finds a part of what MASKS finds
 # Items of so many words, fewer than WINDOW; up to four words no substitution is allowed and all words are the seed.
 SHORT_MASKS = {
     12: ("11101011", "11010111", "1110010011"), 11: ("1111011", "110001111", "1101100011"), 10: ("111011", "1101011", "1110011"),
@@ -37,6 +40,57 @@ SHARE = 0.8
 BROADCAST_SEEDS = 500_000  # rows of three numbers, some 30 MB as a hash table; above that the join shuffles
 
 
+ENUMERATED = 200_000  # substitution sets up to which masks are searched and proved by trying all; beyond, blocks are used
+
+
+def misses(masks, n: int, allowed: int) -> np.ndarray:
+    """The sets of ``allowed`` substituted words among ``n``, as bit sets, that leave no placement of a mask untouched."""
+    left = np.array([sum(1 << i for i in c) for c in itertools.combinations(range(n), allowed)], np.int64)
+    for m in masks:
+        ones = sum(1 << i for i in _ones(m))
+        for shift in range(n - len(m) + 1):
+            left = left[(left & (ones << shift)) != 0]
+    return left
+
+
+@functools.cache
+def masks_for(n: int, share: float, window: int = WINDOW) -> tuple[str, ...]:
+    """Masks without a miss for stretches of ``n`` words of which ``ceil(n * share)`` agree.
+
+    The default rule has the fixed masks.  For others spaced masks of falling weight are
+    drawn (the same ones each time) and taken greedily until no substitution set is
+    missed, four at most; where there are too many sets to try, or none suffice, the seed
+    is a block of n // (allowed + 1) words, one of which is untouched by any set.
+    """
+    if share == SHARE and n <= WINDOW and window == WINDOW:
+        return MASKS if n == WINDOW else SHORT_MASKS[n]
+    allowed = n - math.ceil(n * share)
+    block = n // (allowed + 1)
+    if block == 0:
+        raise ValueError(f"no seed finds {n} words of which a share of {share} agrees")
+    if allowed == 0 or math.comb(n, allowed) > ENUMERATED or n > 62:
+        return ("1" * block,)
+    rng = random.Random(n)
+    for weight in range(n - allowed, block, -1):
+        drawn = [[0, *sorted(rng.sample(range(1, span - 1), weight - 2)), span - 1] for span in range(weight, n) for _ in range(12) if weight >= 2 and span - 2 >= weight - 2]
+        options = list(dict.fromkeys("".join("1" if i in o else "0" for i in range(o[-1] + 1)) for o in map(frozenset, drawn) for o in [sorted(o)]))
+        taken: list[str] = []
+        left = misses((), n, allowed)
+        while len(left) and len(taken) < 4 and options:
+            def rest(m):
+                out, ones = left, sum(1 << i for i in _ones(m))
+                for shift in range(n - len(m) + 1):
+                    out = out[(out & (ones << shift)) != 0]
+                return out
+
+            best = min(options, key=lambda m: len(rest(m)))
+            left = rest(best)
+            taken.append(best)
+        if not len(left):
+            return tuple(taken)
+    return ("1" * block,)
+
+
 def _ones(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
@@ -61,9 +115,10 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def _good(docs: DataFrame, benchmark: DataFrame, window: int, share: float) -> DataFrame:
     """``doc_id, text_hash, item_id`` and the figures of every alignment that holds; a text is known by its id and hash, an item by its number."""
     items = materialise(_items(benchmark))
-    short = sorted(r[0] for r in items.where(F.size("item") < WINDOW).select(F.size("item")).distinct().collect())
-    masks = list(dict.fromkeys([*MASKS, *(m for n in short for m in SHORT_MASKS[n])]))
-    of_length = F.coalesce(*[F.when(F.size("item") == n, _seeds("item", SHORT_MASKS[n])) for n in short], _seeds("item", MASKS))
+    short = sorted(r[0] for r in items.where(F.size("item") < window).select(F.size("item")).distinct().collect())
+    of_n = {n: masks_for(n, share, window) for n in (window, *short)}
+    masks = list(dict.fromkeys(m for ms in of_n.values() for m in ms))
+    of_length = F.coalesce(*[F.when(F.size("item") == n, _seeds("item", of_n[n])) for n in short], _seeds("item", of_n[window]))
     of_items = materialise(items.select("_i", F.explode(of_length).alias("s")).select("_i", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
     small = of_items.count() <= BROADCAST_SEEDS
     known = F.broadcast(of_items) if small else of_items
@@ -108,30 +163,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item was found; rows that share a doc_id share one verdict, those without one are judged by their text."""
-    bad = _good(docs, benchmark, WINDOW, SHARE).select(F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("_h"))
-    bad = materialise(bad.distinct())
-    own = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"]))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & own.eqNullSafe(bad["_h"]), "left_anti")
+    """The documents in which no benchmark item was found; every text has its own verdict, whatever other rows share its doc_id."""
+    bad = materialise(_good(docs, benchmark, WINDOW, SHARE).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_h"]), "left_anti")
 
 
 def _sql_seed(words: str, mask: str) -> str:
     return "concat_ws(' ', " + ", ".join(f"{words}[p + {o + 1}]" for o in _ones(mask)) + ")"
 
 
-def _sql_seeds(src: str, key: str, words: str) -> str:
-    spaced = [f"SELECT {key}, {k} m, p, {_sql_seed(words, m)} seed FROM (SELECT {key}, {words}, unnest(range(0, len({words}) - {len(m) - 1})) p FROM {src})" for k, m in enumerate(SQL_MASKS)]
-    exact = (f"SELECT {key}, 100 + l m, p, array_to_string({words}[p + 1 : p + l], ' ') seed FROM (SELECT {key}, {words}, l, unnest(range(0, len({words}) - l + 1)) p "
-             f"FROM {src}, (SELECT DISTINCT len(it) l FROM i WHERE len(it) < {min(map(len, SQL_MASKS))}))")
-    return reduce(lambda a, b: f"{a}\nUNION ALL {b}", [*spaced, exact])
+def _sql_seeds(src: str, key: str, words: str, of_items: bool) -> str:
+    """Seeds of MASKS, and of the masks of every shorter length that the benchmark has."""
+    lengths = {m: [n for n, ms in SHORT_MASKS.items() if m in ms] for ms in SHORT_MASKS.values() for m in ms}
+    parts = []
+    for k, m in enumerate(dict.fromkeys([*MASKS, *lengths])):
+        of = f"len({words}) IN ({', '.join(map(str, lengths.get(m, [0])))})" + (f" OR len({words}) >= {WINDOW}" if m in MASKS else "")
+        use = f"({of})" if of_items else "TRUE" if m in MASKS else f"EXISTS (SELECT 1 FROM i WHERE len(it) IN ({', '.join(map(str, lengths[m]))}))"
+        parts.append(f"SELECT {key}, {k} m, p, {_sql_seed(words, m)} seed FROM (SELECT {key}, {words}, unnest(range(0, len({words}) - {len(m) - 1})) p FROM {src} WHERE {use})")
+    return "\nUNION ALL ".join(parts)
 
 
 _SQL_TOKENS = "list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\\p{L}\\p{M}\\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '')"
 SQL = f"""
 WITH d AS (SELECT doc_id, {_SQL_TOKENS} ws FROM documents),
 i AS (SELECT it, min(item_id) item_id FROM (SELECT item_id, {_SQL_TOKENS} it FROM benchmark) WHERE len(it) > 0 GROUP BY it),
-ds AS ({_sql_seeds("d", "doc_id", "ws")}),
-si AS ({_sql_seeds("i", "item_id", "it")}),
+ds AS ({_sql_seeds("d", "doc_id", "ws", False)}),
+si AS ({_sql_seeds("i", "item_id", "it", True)}),
 c AS (SELECT DISTINCT doc_id, item_id, ds.p - si.p doc_word FROM ds JOIN si USING (m, seed)),
 e AS (SELECT doc_id, item_id, doc_word, least({WINDOW}, len(it)) w, list_transform(range(greatest(doc_word, 0), least(doc_word + len(it), len(ws))), lambda q: (ws[q + 1] = it[q - doc_word + 1])::INT) eq
     FROM c JOIN d USING (doc_id) JOIN i USING (item_id)),
