@@ -134,8 +134,10 @@ def fit_two_stage(df: DataFrame, features: Sequence[str], residual: str, event:
     return ResidualLearner(g, fit(left, features, "_left", loss="absolute", iters=iters, depth=depth, prediction="_e"))
 
 
-def apply_two_stage(df: DataFrame, learner: ResidualLearner, base: str, event: Column, blend_share: float = 0.5, cap: float = 8.0, out: str = "Targeted_Meta_MWH") -> DataFrame:
-    """Blended and capped residual correction; the event part acts on event rows only."""
+def apply_two_stage(df: DataFrame, learner: ResidualLearner | None, base: str, event: Column, blend_share: float = 0.5, cap: float = 8.0, out: str = "Targeted_Meta_MWH") -> DataFrame:
+    """Blended and capped residual correction; the event part acts on event rows only.  Without a learner (too few rows) it is zero."""
+    if learner is None:
+        return df.withColumns({out: F.lit(0.0), f"{out}_Forecast": clip(c(base), lo=0.0)})
     s = learner.all_rows.score(df)
     extra = F.lit(0.0)
     if learner.event is not None:

@@ -60,10 +60,15 @@ p5 AS (SELECT *, lh*60 + eq + 4*({lon}) - 60*({off}) AS t0 FROM p4), p6 AS (SELE
 v_pos AS (SELECT *, degrees(asin(sin(la)*sin(dec)+cos(la)*cos(dec)*cos(ha))) AS elev, degrees((atan2(sin(ha), cos(ha)*sin(la)-tan(dec)*cos(la)) + pi()) - floor((atan2(sin(ha), cos(ha)*sin(la)-tan(dec)*cos(la)) + pi())/(2*pi()))*2*pi()) AS az FROM p6)"""
 
 
-@query("scl11_solar_position", "WITH o AS (SELECT DISTINCT date_trunc('day', o_orderdate) + to_minutes(CAST(o_orderkey % 96 * 15 AS INTEGER)) AS dt FROM orders WHERE month(o_orderdate) IN (1, 2, 6, 7, 8, 12)), oo AS (SELECT *, CASE WHEN month(dt) IN (6,7,8) THEN -7 ELSE -8 END AS off FROM o)," + pos_sql("oo", "dt", "38.75", "-121.29", "off") + """
+# daylight time of the tables' years: first Sunday of April to last Sunday of October, 2 o'clock
+_APR, _OCT = "make_date(year(dt), 4, 1)", "make_date(year(dt), 10, 31)"
+DST_SQL = f"CASE WHEN dt >= CAST({_APR} + CAST((7 - isodow({_APR})) % 7 AS INTEGER) AS TIMESTAMP) + INTERVAL 2 HOUR AND dt < CAST({_OCT} - CAST(isodow({_OCT}) % 7 AS INTEGER) AS TIMESTAMP) + INTERVAL 2 HOUR THEN -7 ELSE -8 END"
+
+
+@query("scl11_solar_position", f"WITH o AS (SELECT DISTINCT date_trunc('day', o_orderdate) + to_minutes(CAST(o_orderkey % 96 * 15 AS INTEGER)) AS dt FROM orders), oo AS (SELECT *, {DST_SQL} AS off FROM o)," + pos_sql("oo", "dt", "38.75", "-121.29", "off") + """
 SELECT CAST(dt AS VARCHAR) AS dt, elev, az FROM v_pos""", r6=["elev", "az"])
 def _(spark, d):
-    o = table(spark, d, "orders").where(F.month("o_orderdate").isin(1, 2, 6, 7, 8, 12))
+    o = table(spark, d, "orders")
     o = o.select(F.timestamp_add("MINUTE", (F.col("o_orderkey") % 96 * 15).cast("int"), F.date_trunc("day", F.col("o_orderdate").cast("timestamp"))).alias("dt")).distinct()
     e, a = S.solar_position(F.col("dt"), 38.75, -121.29, S.local_utc_offset(F.col("dt"), "America/Los_Angeles"))
     return o.select(dstr("dt"), e.alias("elev"), a.alias("az"))

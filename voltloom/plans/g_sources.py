@@ -705,12 +705,12 @@ def _(spark, d):
     return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).distinct().join(table(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("k")), "k", "left_anti")
 
 
-RNG_SQL = """WITH dd AS (SELECT DISTINCT l_returnflag AS s, CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_suppkey % 5 = 0), i AS (SELECT *, d - CAST(row_number() OVER (PARTITION BY s ORDER BY d) AS INTEGER) AS g FROM dd),
+RNG_SQL = """WITH dd AS (SELECT DISTINCT l_suppkey AS s, CAST(l_shipdate AS DATE) AS d FROM lineitem), i AS (SELECT *, d - CAST(row_number() OVER (PARTITION BY s ORDER BY d) AS INTEGER) AS g FROM dd),
 r AS (SELECT s, min(d) AS a, max(d) AS b, count(*) AS n FROM i GROUP BY s, g)"""
 
 
 def ranges(spark, d):
-    li = table(spark, d, "lineitem").where("l_suppkey % 5 = 0").select(F.col("l_returnflag").alias("s"), F.to_date("l_shipdate").alias("Date"))
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("s"), F.to_date("l_shipdate").alias("Date"))
     return H.contiguous_ranges(li, ["s"])
 
 
