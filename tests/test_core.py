@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from voltloom.core import asof_backward, asof_backward_unbounded, epoch_second, group_quantiles, keep_last, null_safe_join
@@ -31,7 +32,12 @@ def test_group_quantiles_hot_key_ties_nulls(spark):
         assert got[key]["n"] == len(g) and got[key]["nd"] == g.v.nunique() and abs(got[key]["mean"] - g.v.mean()) < 1e-9 * max(1, abs(g.v.mean()))
 
 
-def test_group_quantiles_split_a_hot_bucket(spark):
+@pytest.mark.parametrize("most", [200_000, 5])
+def test_group_quantiles_split_a_hot_bucket(spark, monkeypatch, most):
+    """The same result whether a bucket is ordered whole or by sub-buckets."""
+    import voltloom.core.quantiles as Q
+
+    monkeypatch.setattr(Q, "MOST", most)
     from voltloom.core.quantiles import _bucket
 
     df = spark.range(1_000_000).select(F.lit("hot").alias("k"), (F.lit(1000.0) + F.col("id") * 5e-7).alias("v"))
