@@ -129,7 +129,7 @@ def recursive_steps(history: DataFrame, score: Callable[[DataFrame], DataFrame],
     per entry of ``decay`` (name to half-life in hours), the decayed mean of the ring;
     ``score`` adds ``prediction`` to that frame with one call for all keys.  ``carry``
     (``keys`` and further columns) is joined to the state once, such as the keys'
-    coefficients.  The plan is cut into the shared folder every ``cut_every`` steps.
+    coefficients; keys without an entry get no forecast.  The plan is cut into the shared folder every ``cut_every`` steps.
     """
     end = history.groupBy(*keys).agg(F.max(epoch_hour("DT")).alias("_end"))
     near = history.join(end, list(keys)).withColumn("_age", c("_end") - epoch_hour("DT")).where(c("_age") < memory)
@@ -137,7 +137,7 @@ def recursive_steps(history: DataFrame, score: Callable[[DataFrame], DataFrame],
     ring = F.transform(F.sequence(F.lit(memory - 1), F.lit(0)), lambda a: F.coalesce(F.try_element_at("_m", a.cast("long")), c("_avg")))
     state = s.select(*keys, "_end", ring.alias("_ring"), F.array().cast("array<double>").alias("_out"))
     if carry is not None:
-        state = null_safe_join(state, carry, keys)
+        state = null_safe_join(state, carry, keys, "inner")
     state = materialise(state)
     kept = state.columns
     for h in range(1, horizon + 1):
