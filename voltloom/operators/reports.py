@@ -64,6 +64,20 @@ def serial_dependence(df: DataFrame, value: str, keys: Sequence[str], chunk_hour
     return p.groupBy(*keys).agg(F.corr(value, "_p").alias("acf1"), (F.sum((v - c("_p")) * (v - c("_p"))) / F.sum(v * v)).alias("dw"))
 
 
+def autocorrelation(df: DataFrame, value: str, keys: Sequence[str], lags: Sequence[int], chunk_hours: int = 2160) -> DataFrame:
+    """Per key and lag the correlation with the value so many rows before and the number of pairs; rows without a value are no rows.
+
+    Null where fewer than two pairs exist or one side does not vary.
+    """
+    far = max(lags)
+    p = rows_before(df.where(c(value).isNotNull()), keys, epoch_hour("DT"), chunk_hours, c(value), far, "DT")
+    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), c(f"_before{k}").alias("_p")) for k in lags])
+    long = p.select(*keys, c(value).alias("_v"), F.inline(pairs)).where("_p is not null")
+    g = long.groupBy(*keys, "lag").agg(F.count("*").alias("pairs"), F.corr("_v", "_p").alias("_c"), F.stddev_pop("_v").alias("_a"), F.stddev_pop("_p").alias("_b"))
+    varies = (c("pairs") > 1) & (c("_a") >= 1e-9) & (c("_b") >= 1e-9)
+    return g.select(*keys, "lag", "pairs", F.when(varies, c("_c")).alias("acf"))
+
+
 def yearly_trend(daily: DataFrame, value: str, date: str = "Date") -> DataFrame:
     """Per year count, mean, median and max, and a linear trend fitted on the years before it (two at least)."""
     x = daily.withColumn("y", F.year(date))

@@ -641,6 +641,15 @@ def _(spark, d):
     return RP.serial_dependence(load(spark, d).withColumn("v", F.col("MWH") - 60), "v", ["series"])
 
 
+@query("agg37_autocorrelation_at_lags", ctes("load") + """,
+x AS (SELECT series, MWH - 60 AS v, lag(MWH - 60, 1) OVER w AS p1, lag(MWH - 60, 2) OVER w AS p2, lag(MWH - 60, 24) OVER w AS p24 FROM v_load WINDOW w AS (PARTITION BY series ORDER BY eh)),
+u AS (SELECT series, 1 AS lag, v, p1 AS p FROM x UNION ALL SELECT series, 2, v, p2 FROM x UNION ALL SELECT series, 24, v, p24 FROM x)
+SELECT series, lag, CAST(count(*) AS BIGINT) AS pairs, CASE WHEN count(*) > 1 AND stddev_pop(v) >= 1e-9 AND stddev_pop(p) >= 1e-9 THEN corr(v, p) END AS acf FROM u WHERE p IS NOT NULL GROUP BY 1, 2""", r6=["acf"])
+def _(spark, d):
+    from ..operators import reports as RP
+    return RP.autocorrelation(load(spark, d).withColumn("v", F.col("MWH") - 60), "v", ["series"], (1, 2, 24))
+
+
 @query("agg38_yearly_trend", ctes("daily") + """,
 y AS (SELECT year("Date") AS y, count(*) AS n, avg(n) AS m, quantile_cont(n, 0.5) AS md, max(n) AS mx FROM v_daily WHERE Temperature_DailyMax BETWEEN 85 AND 100 GROUP BY 1)
 SELECT CAST(a.y AS INT) AS y, CAST(a.n AS BIGINT) AS n, a.m, a.md, a.mx, CASE WHEN count(b.y) >= 2 THEN regr_intercept(b.m, b.y) + regr_slope(b.m, b.y)*a.y END AS trend FROM y a LEFT JOIN y b ON b.y < a.y GROUP BY 1, 2, 3, 4, 5, a.y""", r6=["m", "md", "mx", "trend"])
