@@ -93,6 +93,32 @@ def readiness_gates() -> dict[str, tuple[Column, dict[str, float]]]:
     }
 
 
+# Test, purpose, basis, target and gate of the readiness scorecard.
+READINESS_TEXT = (
+    ("Last 45 days", "Recent behavior", "recent_45_day_backtest", "Recent MAE <= 3.0 MWh", "mae<=3.0"),
+    ("Seasonal rolling origins", "General robustness", "seasonal_rolling_origin_replay", "MAE <= 4.5, MAPE <= 3.5%, abs bias <= 0.75", "mae<=4.5;mape<=3.5;abs_bias<=0.75"),
+    ("Day 1 only", "Near-term operational forecast", "seasonal_rolling_origin_replay", "MAE <= 3.5 MWh", "mae<=3.5"),
+    ("Days 2-3", "Short weather forecast horizon", "seasonal_rolling_origin_replay", "MAE <= 5.0 MWh", "mae<=5.0"),
+    ("Days 4-7", "Weather uncertainty horizon", "seasonal_rolling_origin_replay", "MAE <= 5.0 MWh", "mae<=5.0"),
+    ("Hot peak days", "Operational risk", "seasonal_rolling_origin_replay", "MAE <= 6.0 MWh", "mae<=6.0"),
+    ("Cloud/solar midday", "BTM solar/cloud risk", "seasonal_rolling_origin_replay", "MAE <= 7.0 MWh", "mae<=7.0"),
+    ("Shoulder heat transition", "Spring/fall load-response risk", "seasonal_rolling_origin_replay", "MAE <= 7.0 MWh", "mae<=7.0"),
+    ("Peak window hours 14-18", "Peak planning risk", "seasonal_rolling_origin_replay", "MAE <= 5.5 MWh", "mae<=5.5"),
+)
+
+
+def last_days(df: DataFrame, days: int, time: str = "DT") -> DataFrame:
+    """Rows of the last ``days`` before the latest time of the table."""
+    return df.where(c(time) > df.agg((F.max(time) - F.make_dt_interval(F.lit(days))).alias("t")).scalar())
+
+
+def readiness_scorecard(recent: DataFrame, replay: DataFrame, forecast: str, actual: str = ACTUAL) -> DataFrame:
+    """All nine gates: the recent backtest and the replay's eight, with purpose, basis, target and gate; no rows is a fail."""
+    both = gated(recent, {"Last 45 days": (F.lit(True), {"mae": 3.0})}, forecast, actual).unionByName(gated(replay, readiness_gates(), forecast, actual))
+    text = replay.sparkSession.createDataFrame([(i, *t) for i, t in enumerate(READINESS_TEXT)], "Order int, Test string, Purpose string, Basis string, Target string, Gate string")
+    return text.join(both, "Test")
+
+
 def promotion_slices() -> dict[str, Column]:
     h, d = c("Hour"), c("Forecast_Day")
     return {

@@ -1,13 +1,18 @@
-"""Queries: analogs with their statistics, the whole readiness scorecard and decayed residuals."""
+"""Queries: analogs with their statistics, the whole readiness scorecard, weights by scope and a scan of interval files."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..core.scratch import shared_dir
 from ..operators import analogs as AN
 from ..operators import metrics as M
-from .base import ctes, query, replay
-from .c_scorecards import ACT, RAW, m_sql
+from ..operators import scorecards as SC
+from ..operators import training as TR
+from ..sources import scans as SR
+from .a_features import LOSS, PEAK_BAND_SQL
+from .base import ctes, query, replay, table
+from .c_scorecards import ACT, FIN, RAW, m_sql
 
 METRICS = ["Actual_Mean_MWH", "Forecast_Mean_MWH", "Bias_MWH", "MAE_MWH", "RMSE_MWH", "MAPE_PCT", "Underforecast_Rate_PCT", "Max_Underforecast_MWH", "Max_Overforecast_MWH"]
 _O = "make_date(CAST(origin_id // 100 AS INT), CAST(origin_id % 100 AS INT), 1)"
@@ -51,3 +56,59 @@ u AS (SELECT 'raw' AS "Stage", src, Forecast_Day, Hour, Actual_MWH, Raw_Forecast
 SELECT "Stage", src AS "Heat_Analog_Source", Forecast_Day, Hour, """ + m_sql("f", p90=False) + " FROM u GROUP BY 1, 2, 3, 4", r6=METRICS)
 def _(spark, d):
     return M.stage_metrics(detail(spark, d), {"raw": RAW, "analog": "Heat_Analog_Shadow_Forecast_MWH"}, ["Heat_Analog_Source", "Forecast_Day", "Hour"], p90=False)
+
+
+_GATES = (
+    ("Last 45 days", "Recent behavior", 3.0, "DT > (SELECT max(DT) FROM v_bt) - INTERVAL 45 DAY"), ("Seasonal rolling origins", "General robustness", 4.5, "TRUE"),
+    ("Day 1 only", "Near-term operational forecast", 3.5, "Forecast_Day = 1"), ("Days 2-3", "Short weather forecast horizon", 5.0, "Forecast_Day BETWEEN 2 AND 3"),
+    ("Days 4-7", "Weather uncertainty horizon", 5.0, "Forecast_Day BETWEEN 4 AND 7"), ("Hot peak days", "Operational risk", 6.0, "Hour BETWEEN 16 AND 20 AND Temperature_DailyMax >= 90"),
+    ("Cloud/solar midday", "BTM solar/cloud risk", 7.0, "Hour BETWEEN 10 AND 16 AND (CloudCover_Norm >= 0.6 OR BTM_Solar_Loss_From_ClearSky_MW >= 1.25)"),
+    ("Shoulder heat transition", "Spring/fall load-response risk", 7.0, "Season IN ('Spring','Fall') AND Hour BETWEEN 12 AND 22 AND Temperature_DailyMax BETWEEN 75 AND 93"),
+    ("Peak window hours 14-18", "Peak planning risk", 5.5, "Hour BETWEEN 14 AND 18"))
+
+
+@query("rep08_readiness_scorecard", ctes("bt") + ", s AS (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS \"Test\", '{p}' AS \"Purpose\", {lim} AS lim, Actual_MWH AS a, Final_Forecast_MWH AS f FROM v_bt WHERE {w}" for n, p, lim, w in _GATES) + """)
+SELECT "Test", "Purpose", CASE WHEN "Test" = 'Last 45 days' THEN 'recent_45_day_backtest' ELSE 'seasonal_rolling_origin_replay' END AS "Basis",
+ CASE WHEN "Test" = 'Seasonal rolling origins' THEN 'mae<=4.5;mape<=3.5;abs_bias<=0.75' ELSE 'mae<=' || printf('%.1f', max(lim)) END AS "Gate", CAST(count(*) AS BIGINT) AS "N", avg(abs(a-f)) AS "MAE_MWH", avg(a-f) AS "Bias_MWH",
+ CAST(avg(abs(a-f)) <= max(lim) AND ("Test" <> 'Seasonal rolling origins' OR (avg(abs(a-f)/abs(a)*100) <= 3.5 AND abs(avg(a-f)) <= 0.75)) AS INT) AS "Pass" FROM s GROUP BY 1, 2""", r6=["MAE_MWH", "Bias_MWH"])
+def _(spark, d):
+    b = replay(spark, d, "DT", "Hour", "Season", "Forecast_Day", "Temperature_DailyMax", "CloudCover_Norm", LOSS, ACT, FIN)
+    o = SC.readiness_scorecard(SC.last_days(b, 45), b, FIN)
+    return o.select("Test", "Purpose", "Basis", "Gate", "N", "MAE_MWH", "Bias_MWH", F.col("Pass").cast("int").alias("Pass"))
+
+
+@query("agg36_training_weight_by_scope", ctes("bt") + f""",
+q AS (SELECT quantile_cont(Actual_MWH, 0.9) AS q90, quantile_cont(Actual_MWH, 0.95) AS q95 FROM v_bt),
+w AS (SELECT coalesce({PEAK_BAND_SQL}, 'unknown') AS b, coalesce(Temperature_DailyMax >= 90 AND Hour BETWEEN 16 AND 20, FALSE) AS hot,
+  least(greatest(CASE WHEN Actual_MWH >= q90 THEN 1.8 ELSE 1 END * CASE WHEN Actual_MWH >= q95 THEN 3.0 ELSE 1 END * CASE WHEN Temperature_DailyMax >= 90 AND Hour BETWEEN 16 AND 20 AND IsWeekend = 0 THEN 1.7 ELSE 1 END, 0.25), 8) AS w FROM v_bt, q),
+t AS (SELECT count(*) AS n, sum(w) AS w FROM w),
+k AS (SELECT * FROM (VALUES ('<75'), ('75-85'), ('85-90'), ('90-92.5'), ('92.5-95'), ('95-98'), ('98-100'), ('100-105'), ('105+')) v(b), (VALUES ('AllHours'), ('HotPeakHours16to20')) u(sc)),
+m AS (SELECT k.b, sc, count(w.b) AS n, coalesce(sum(w.w), 0) AS s FROM k LEFT JOIN w ON w.b = k.b AND (sc = 'AllHours' OR hot) GROUP BY 1, 2)
+SELECT m.b AS bucket, sc AS scope, CAST(m.n AS BIGINT) AS n, 100.0*m.n/t.n AS row_pct, CASE WHEN m.n > 0 THEN s/m.n ELSE 0 END AS mean_weight, s AS total, 100*s/t.w AS weight_pct, CASE WHEN m.n > 0 THEN (100*s/t.w)/(100.0*m.n/t.n) END AS ratio FROM m, t""",
+       r4=["row_pct", "mean_weight", "total", "weight_pct", "ratio"])
+def _(spark, d):
+    b = replay(spark, d, "Hour", "Temperature_DailyMax", "IsWeekend", ACT).withColumn("IsLikelySystemPeakHour", F.when((F.col("IsWeekend") == 0) & F.col("Hour").between(16, 20), 1).otherwise(0))
+    o = TR.weight_scopes(TR.add_load_weights(b, ACT, TR.Weights(recency_end=1.0)), 90.0)
+    return o.select(F.col("Temperature_DailyMax_Bucket").alias("bucket"), F.col("Scope").alias("scope"), F.col("N_Rows").alias("n"), F.col("Pct_Of_Total_Rows").alias("row_pct"), F.col("Mean_Sample_Weight").alias("mean_weight"),
+                    F.col("Total_Sample_Weight").alias("total"), F.col("Pct_Of_Total_Weight").alias("weight_pct"), F.col("Weighted_Share_vs_RawShare_Ratio").alias("ratio"))
+
+
+# channel folder by return flag; the rows of a channel are one monthly folder named after their last month
+_CHANNELS = {"A": "COM/GS2/NEM/REC", "N": "RES/DEL", "R": "COM/GS1/NET"}
+
+
+@query("src10_interval_file_scan", """
+SELECT CASE l_returnflag WHEN 'N' THEN 'RES' ELSE 'COM' END AS segment, CASE l_returnflag WHEN 'A' THEN 'REC' WHEN 'N' THEN 'DEL' ELSE 'NET' END AS channel, CASE l_returnflag WHEN 'A' THEN 'GS2' WHEN 'N' THEN 'RES' ELSE 'GS1' END AS rate_group,
+ CASE l_returnflag WHEN 'A' THEN 'NEM' ELSE 'Non-NEM' END AS nem_status, strftime(max(l_shipdate), '%Y%m') AS month, CAST(count(*) AS BIGINT) AS rows, sum(l_quantity) AS kwh, 1 AS sized FROM lineitem GROUP BY l_returnflag""", r4=["kwh"])
+def _(spark, d):
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_shipdate", "l_quantity")
+    root, schema = shared_dir(spark), "l_shipdate timestamp, l_quantity double"
+    last = {r[0]: r[1] for r in li.groupBy("l_returnflag").agg(F.date_format(F.max("l_shipdate"), "yyyyMM")).collect()}  # one row a flag
+    for flag, folder in _CHANNELS.items():
+        if flag in last:
+            li.where(F.col("l_returnflag") == flag).select(F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").cast("double")).write.parquet(f"{root}/{folder}/MONTHLY_{last[flag]}")
+    lake = SR.interval_lake(spark, root, schema)
+    keys = ["segment", "channel", "rate_group", "nem_status", "month"]
+    files = SR.file_catalog(lake).groupBy(*keys).agg(F.sum("rows").alias("rows"), F.min(((F.col("file_size") > 0) & F.col("modified").isNotNull()).cast("int")).alias("sized"))
+    return files.join(lake.groupBy(*keys).agg(F.sum("l_quantity").alias("kwh")), keys)
