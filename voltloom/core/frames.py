@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .scratch import materialise
+
 
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -97,6 +99,16 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_small(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """``null_safe_join`` with a right side of one row per key or combination of bins.
+
+    It is written first, so the join is planned from its measured size: a small one goes
+    to the left rows, which are not shuffled by a few hot keys; a large one is a shuffle
+    join as ever.
+    """
+    return null_safe_join(left, materialise(right), keys, how)
+
+
 def weighted_mean(pairs: Sequence[tuple[Column, Column]]) -> Column:
     """Row-wise weighted mean that skips null values; null when no value is present."""
     num = reduce(lambda a, b: a + b, [F.coalesce(v * w, F.lit(0.0)) for v, w in pairs])

@@ -1,10 +1,10 @@
 """Exact group quantiles that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer, which a hot
-group makes unbounded.  Here equal values are folded before the shuffle and written
-once with their value bucket; counts per bucket locate the wanted ranks, and only
-buckets that hold one are ordered.  Where such a bucket has more than ``MOST`` distinct
-values, a second level of sub-buckets, 2e-7 of the value wide, is counted first and
+group makes unbounded.  Here counts per value bucket, combined before the shuffle,
+locate the wanted ranks, and only the values of buckets that hold one are folded,
+written and ordered.  The source is read twice for that, but the other values are never
+shuffled.  Where such a bucket has more than ``MOST`` distinct values, a second level of sub-buckets, 2e-7 of the value wide, is counted first and
 only the sub-buckets with a wanted rank are ordered; equal values are one row in it.
 The result does not depend on which way is taken.
 """
@@ -21,8 +21,8 @@ from pyspark.sql.window import Window
 
 from .scratch import materialise
 
-_PER_UNIT = 1024.0  # buckets per unit of log1p: neighbours differ by 0.1 %
-_PARTS = 4096.0     # sub-buckets of a bucket
+_PER_UNIT = 128.0   # buckets per unit of log1p: neighbours differ by 0.8 %
+_PARTS = 32768.0    # sub-buckets of a bucket
 MOST = 200_000      # distinct values of a bucket that one task orders
 
 
@@ -39,16 +39,23 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     Null keys form groups of their own; groups without a value are absent.
     ``count_as``, ``distinct_as`` and ``mean_as`` add the number of values, of
     distinct values, and their mean.
-    The source is read once, into a stored table of folded values.
+    With ``distinct_as`` the source is read once, into a stored table of all folded values.
     """
     v = F.col(value).cast("double")
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("_one"))
-    base = df.select(key.alias("_g"), v.alias("_v")).where("_v is not null and not isnan(_v)")
     bucket, part = _bucket(F.col("_v"))
-    folded = materialise(base.groupBy("_g", "_v").agg(F.count("*").alias("_n")).withColumn("_b", bucket))
+    base = df.select(key.alias("_g"), v.alias("_v")).where("_v is not null and not isnan(_v)").withColumn("_b", bucket)
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return materialise(rows.groupBy("_g", "_b", "_v").agg(F.count("*").alias("_n")))
+
     group = Window.partitionBy("_g")
     upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = folded.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
+    if distinct_as:
+        folded = fold(base)
+        hist = folded.groupBy("_g", "_b").agg(F.sum("_n").alias("_bn"), F.count("*").alias("_bd"), F.sum(F.col("_v") * F.col("_n")).alias("_bs"))
+    else:
+        hist = base.groupBy("_g", "_b").agg(F.count("*").alias("_bn"), F.sum("_v").alias("_bs")).withColumn("_bd", F.lit(None).cast("long"))
     hist = hist.withColumns({"_end": F.sum("_bn").over(upto), "_total": F.sum("_bn").over(group), "_distinct": F.sum("_bd").over(group),
                              "_mean": F.sum("_bs").over(group) / F.sum("_bn").over(group)})
 
@@ -66,10 +73,13 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
 
     carried = ["_total", "_distinct", "_mean"]
     before = F.col("_end") - F.col("_bn")
-    near = materialise(hist.where(wanted(before, F.col("_end"))).select("_g", "_b", "_bd", *carried, before.alias("_before")))
+    target = materialise(hist.where(wanted(before, F.col("_end"))).select("_g", "_b", *carried, before.alias("_before")))
+    near = target.select("_g", "_b")
+    if not distinct_as:
+        folded = fold(base.join(near, ["_g", "_b"], "left_semi"))
     at, held = ["_g", "_b"], folded
-    target = near.drop("_bd")
-    if (near.agg(F.max("_bd")).first()[0] or 0) > MOST:
+    most = held.join(near, at, "left_semi").groupBy(*at).agg(F.count("*").alias("_bd")).agg(F.max("_bd")).first()[0]
+    if (most or 0) > MOST:
         at, held = ["_g", "_b", "_s"], folded.withColumn("_s", part)
         sub = Window.partitionBy("_g", "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)  # at most _PARTS + 1 rows
         parts = held.join(target, ["_g", "_b"]).groupBy(*at).agg(F.sum("_n").alias("_sn"), *[F.first(x).alias(x) for x in (*carried, "_before")])

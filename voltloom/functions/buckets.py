@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core.frames import _c, cut_left, cut_right, null_safe_join
+from ..core.frames import _c, cut_left, cut_right, join_small, null_safe_join
 from ..core.quantiles import group_quantiles
 
 INF = float("inf")
@@ -151,7 +151,7 @@ def with_quartile_bucket(df: DataFrame, value_col: str, out_col: str, keys: Sequ
     v = F.coalesce(F.col(value_col), F.lit(0.0))
     stats = group_quantiles(df.where(v > 0), keys, value_col, {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75}, count_as="_n", distinct_as="_nd")
     if keys:
-        out = null_safe_join(df, stats, keys)
+        out = join_small(df, stats, keys)
     else:  # one row: a scalar subquery is computed once per query however often the frame is read
         names = ("_q1", "_q2", "_q3", "_n", "_nd")
         out = df.withColumn("_st", stats.select(F.struct(*names)).scalar()).withColumns({n: F.col(f"_st.{n}") for n in names}).drop("_st")

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import group_quantiles, null_safe_join
+from ..core import group_quantiles, join_small, null_safe_join
+from ..core.scratch import materialise
 from ..functions.clock import token_list
 from ..functions.weather import clip
 from .lookups import Level, all_keys, level_rows, resolve
@@ -42,7 +43,7 @@ def first_match(frame: DataFrame, lookup: DataFrame, levels: Sequence[Level], va
         lk = lk.where(c("count") >= need)
     best = F.min_by(F.struct(c(value).alias("v"), c("level").alias("l")), "_order")
     got = resolve(frame, lk, levels, by, [best.alias("_fm")])
-    return null_safe_join(frame, got, [*by, *all_keys(levels)]).withColumns({out: c("_fm.v"), source: c("_fm.l")}).drop("_fm")
+    return join_small(frame, got, [*by, *all_keys(levels)]).withColumns({out: c("_fm.v"), source: c("_fm.l")}).drop("_fm")
 
 
 def _is(col: str, *values: str) -> Column:
@@ -208,19 +209,17 @@ def conformal_bands(df: DataFrame, lookup: DataFrame, base: str, halfspread: Col
 def prior_origin_quantiles(errors: DataFrame, origin: str, error: str, by: Sequence[str] = (), quantile: float = 0.80, per_unit: float = 256.0) -> DataFrame:
     """Per origin and level, the error quantile over strictly earlier origins.
 
-    Rows are never paired with origins.  Counts per (level, value bucket, origin)
-    are carried to the later origins; their number depends on buckets and
-    origins, not on rows.  They place the wanted ranks in a bucket, and only the
-    folded values of that bucket are then counted per origin.
+    Rows are never paired with origins.  Counts per (level, value bucket, origin),
+    combined before the shuffle, are carried to the later origins; their number depends
+    on buckets and origins, not on rows.  They place the wanted ranks in a bucket, and
+    only the values of such buckets are then folded and counted per origin.
     """
     v = c(error).cast("double")
     bucket = F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(per_unit)).cast("long")
     long = errors.where(v.isNotNull()).select(*by, c(origin).alias("_o"), v.alias("_v"), bucket.alias("_b"), F.inline(level_rows(CONFORMAL_LEVELS)))
     k = [*by, "level", "key"]
-    folded = long.groupBy(*k, "_b", "_v", "_o").agg(F.count("*").alias("_n"))
-    spread = folded.repartition(*k, "_b")
     names = errors.select(*by, origin).distinct().groupBy(*by).agg(F.array_sort(F.collect_set(origin)).alias("_all"))  # origins of a replay
-    cells = spread.groupBy(*k, "_b", "_o").agg(F.sum("_n").alias("_n"))
+    cells = long.groupBy(*k, "_b", "_o").agg(F.count("*").alias("_n"))
     cells = null_safe_join(cells, names, by) if by else cells.withColumn("_all", names.scalar())
     later = cells.withColumn("_t", F.explode(F.filter("_all", lambda t: t > c("_o"))))
     hist = later.groupBy(*k, "_t", "_b").agg(F.sum("_n").alias("_bn"))
@@ -230,8 +229,9 @@ def prior_origin_quantiles(errors: DataFrame, origin: str, error: str, by: Seque
     lo, hi = F.floor(pos).cast("long"), F.ceil(pos).cast("long")
     before = c("_end") - c("_bn")
     want = F.filter(F.array_distinct(F.array(lo, hi)), lambda r: (r < c("_end")) & (r >= before))
-    target = hist.select(*k, "_t", "_b", "_tot", before.alias("_before"), want.alias("_want")).where(F.size("_want") > 0)
-    inside = spread.join(target, [*k, "_b"]).where(c("_o") < c("_t")).groupBy(*k, "_t", "_b", "_v").agg(
+    target = materialise(hist.select(*k, "_t", "_b", "_tot", before.alias("_before"), want.alias("_want")).where(F.size("_want") > 0))
+    folded = long.join(target.select(*k, "_b").distinct(), [*k, "_b"], "left_semi").groupBy(*k, "_b", "_v", "_o").agg(F.count("*").alias("_n"))
+    inside = folded.join(target, [*k, "_b"]).where(c("_o") < c("_t")).groupBy(*k, "_t", "_b", "_v").agg(
         F.sum("_n").alias("_n"), F.first("_tot").alias("_tot"), F.first("_before").alias("_before"), F.first("_want").alias("_want"))
     run = inside.withColumn("_to", F.sum("_n").over(Window.partitionBy(*k, "_t", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) + c("_before"))
     hit = F.filter("_want", lambda r: (r < c("_to")) & (r >= c("_to") - c("_n")))
