@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import cut_right, group_quantiles, keep_last, null_safe_join, safe_div
+from ..core import cut_right, group_quantiles, join_small, keep_last, null_safe_join, safe_div
+from ..core.scratch import materialise
 from ..functions.clock import utc_offset_hours
 from ..functions.weather import clip
 
@@ -307,7 +308,7 @@ def regime_factors(df: DataFrame, forecast: str, actual: str = "Actual_kWh", by:
 def lookup_regime(df: DataFrame, factors: DataFrame, by: Sequence[str] = (), out: str = "RegimeCalibrationFactor") -> DataFrame:
     """Exact regime, then clear-sky fallback, then 1."""
     k = add_regime_keys(df)
-    f = factors.select(*by, "key", "factor")
+    f = materialise(factors.select(*by, "key", "factor"))
     a = k.join(f.withColumnsRenamed({"key": "RegimeKey", "factor": "_x"}), [*by, "RegimeKey"], "left")
     b = a.join(f.withColumnsRenamed({"key": "RegimeFallbackKey", "factor": "_y"}), [*by, "RegimeFallbackKey"], "left")
     return b.withColumn(out, F.coalesce("_x", "_y", F.lit(1.0))).drop("_x", "_y", "RegimeKey", "RegimeFallbackKey")
@@ -316,7 +317,7 @@ def lookup_regime(df: DataFrame, factors: DataFrame, by: Sequence[str] = (), out
 def prune_factors(holdout: DataFrame, factors: DataFrame, forecast: str, actual: str = "Actual_kWh", by: Sequence[str] = (), min_rows: int = 12, min_mwh: float = 10.0, gain: float = 0.0005) -> DataFrame:
     """Factors that lower the weighted error of their own holdout rows by at least ``gain``."""
     w = add_regime_keys(holdout.where((c(actual) >= 0) & (c(forecast) > 0)))
-    j = _keyed(w, by, [actual, forecast]).join(factors.select(*by, "key", "factor"), [*by, "key"])
+    j = _keyed(w, by, [actual, forecast]).join(materialise(factors.select(*by, "key", "factor")), [*by, "key"])
     g = j.groupBy(*by, "key", "factor").agg(F.count("*").alias("_n"), F.sum(forecast).alias("_f"), F.sum(actual).alias("_a"), F.sum(F.abs(c(forecast) - c(actual))).alias("_e0"), F.sum(F.abs(c(forecast) * c("factor") - c(actual))).alias("_e1"))
     return g.where((c("_n") >= min_rows) & (c("_f") >= min_mwh * 1000.0) & (c("_a") > 0) & (c("_e1") / c("_a") <= c("_e0") / c("_a") - gain)).select(*by, "key", "factor")
 
@@ -345,7 +346,7 @@ def peak_params(df: DataFrame, actual_kw: str, forecast_kw: str, capacity: str,
     w = df.where((c(actual_kw) >= 0) & (c(forecast_kw) > 0) & (c(capacity) > 0)).withColumn("_cf", c(forecast_kw) / c(capacity))
     w = w if by else w.withColumn("_all", F.lit(1))
     thr = group_quantiles(w, gk, "_cf", {"threshold_cf": q})
-    j = null_safe_join(w, thr, gk)
+    j = join_small(w, thr, gk)
     top = c("_cf") >= c("threshold_cf")
     g = j.groupBy(*gk, "threshold_cf").agg(F.count(F.when(top, 1)).alias("_n"), F.sum(F.when(top, c(forecast_kw))).alias("_f"), F.max(actual_kw).alias("_a"), F.max(forecast_kw).alias("_p"))
     raw = clip(target * c("_a") / c("_p"), lo, 1.0)

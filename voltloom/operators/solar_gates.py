@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..core import null_safe_join
+from ..core import join_small, null_safe_join
 from ..core.scratch import materialise
 from .solar import lookup_regime, month_factors, peak_params, prune_factors, regime_factors
 
@@ -50,7 +50,7 @@ def hold_out_latest(df: DataFrame, share: float = 0.2, min_rows: int = 12, min_t
     want = F.least(F.greatest(F.ceil(c("_n") * share), F.lit(min_rows)), c("_n") - min_train)
     fits = (c("_cum") - c("_k") < want) & (want >= min_rows) & (c("_n") - c("_cum") >= min_train)
     cut = n.where(fits).groupBy(*by).agg(F.min("_ts").alias("_cut"))
-    return null_safe_join(df, cut, by).withColumn("holdout", F.coalesce(c(time) >= c("_cut"), F.lit(False))).drop("_cut")
+    return join_small(df, cut, by).withColumn("holdout", F.coalesce(c(time) >= c("_cut"), F.lit(False))).drop("_cut")
 
 
 def hold_out_days(df: DataFrame, days: int, time: str = "IntervalStartDT") -> DataFrame:
@@ -62,6 +62,7 @@ def hold_out_days(df: DataFrame, days: int, time: str = "IntervalStartDT") -> Da
 
 def with_month(df: DataFrame, months: DataFrame, by: Sequence[str], base: Column, out: str) -> DataFrame:
     """``base`` times the factor of the row's month, or the key's overall factor where the month has none."""
+    months = materialise(months)
     whole = months.groupBy(*by).agg(F.max("aggregate_factor").alias("_all"))
     j = null_safe_join(df.withColumn("_m", F.month("IntervalStartDT")), months.select(*by, c("Month").alias("_m"), c("factor").alias("_f")), [*by, "_m"])
     j = null_safe_join(j, whole, by)
@@ -82,7 +83,7 @@ def _peaks(df: DataFrame, forecast: str, capacity: str, by: Sequence[str], g: Ga
 
 def with_peak(df: DataFrame, peaks: DataFrame, forecast: str, capacity: str, by: Sequence[str], out: str) -> DataFrame:
     """``forecast`` times the peak factor where its capacity factor reaches the threshold."""
-    j = null_safe_join(df, peaks.select(*by, c("peak_factor").alias("_pf"), c("threshold_cf").alias("_th")), by)
+    j = join_small(df, peaks.select(*by, c("peak_factor").alias("_pf"), c("threshold_cf").alias("_th")), by)
     hit = (c("_pf") < 1.0) & (c(forecast) / c(capacity) >= c("_th"))
     return j.withColumn(out, c(forecast) * F.when(hit, c("_pf")).otherwise(1.0)).drop("_pf", "_th")
 
@@ -106,9 +107,9 @@ def pruned_regimes(df: DataFrame, by: Sequence[str] = ("seg",), residual: Column
     base = df.withColumn("_base", c("Forecast_kWh") * (residual if residual is not None else F.lit(1.0)))
     fit = base.where("not holdout")
     rows = with_month(base, _months(fit, "_base", by, g), by, c("_base"), "Month_kWh").drop("_base")
-    found = _regimes(rows.where("not holdout"), "Month_kWh", by, g)
+    found = materialise(_regimes(rows.where("not holdout"), "Month_kWh", by, g))
     kept = prune_factors(rows.where("holdout"), found, "Month_kWh", by=by, min_rows=g.regime_rows, min_mwh=g.regime_mwh, gain=g.regime_gain)
-    return rows, found, kept
+    return rows, found, materialise(kept)
 
 
 def calibration_gates(df: DataFrame, capacity: str, by: Sequence[str] = ("seg",), residual: Column | None = None, g: Gates = Gates()) -> tuple[DataFrame, DataFrame]:
@@ -120,7 +121,7 @@ def calibration_gates(df: DataFrame, capacity: str, by: Sequence[str] = ("seg",)
     holdout keeps every step.
     """
     rows, found, kept = pruned_regimes(df, by, residual, g)
-    peaks = _peaks(rows.where("not holdout"), "Month_kWh", capacity, by, g)
+    peaks = materialise(_peaks(rows.where("not holdout"), "Month_kWh", capacity, by, g))
     v = lookup_regime(rows.where("holdout"), kept, by, "_r").withColumn("Regime_kWh", c("Month_kWh") * c("_r")).drop("_r")
     v = with_peak(v, peaks, "Regime_kWh", capacity, by, "Peak_kWh")
     wmape = lambda x: F.when(F.sum("Actual_kWh") > 0, F.sum(F.abs(c(x) - c("Actual_kWh"))) / F.sum("Actual_kWh"))
@@ -147,7 +148,7 @@ def calibrate(df: DataFrame, capacity: str, by: Sequence[str] = ("seg",), residu
     """
     gates, kept = calibration_gates(df, capacity, by, residual, g)
     spark = df.sparkSession
-    gates, kept = materialise(gates, spark), materialise(kept, spark)
+    gates = materialise(gates, spark)
     last = final if final is not None else residual
     base = df.withColumn("_base", c("Forecast_kWh") * (last if last is not None else F.lit(1.0)))
     months = materialise(_months(base, "_base", by, g), spark)
