@@ -1,8 +1,9 @@
-"""The tables of a replay, from one aggregate.
+"""The tables of a replay, from one aggregate over one scan.
 
-Every row is dealt to the tables whose slice holds it, with its key in each, and to
-the stages; one aggregate that combines before the shuffle gives all tables, which are
-written as one set partitioned by table with a manifest.
+Rows fold to cells of all keys, slices and stages, whose number is bounded by the
+calendar and the bins. Every cell is dealt to the tables whose slice holds it, with its
+key in each, and a second aggregate gives all tables, which are written as one set
+partitioned by table with a manifest.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from ..core.scratch import shared_dir
 from ..functions.buckets import daily_max_bucket
 from ..functions.calendar import season
 from .lookups import MISSING
-from .metrics import ACTUAL, by_stage, metric_aggs
+from .metrics import ACTUAL, by_stage, metric_sums, metrics_of_sums
 
 c = F.col
 
@@ -61,12 +62,16 @@ def _key(t: Table) -> Column:
 
 
 def bundle_rows(df: DataFrame, stages: Mapping[str, str], tables: Mapping[str, Table] = TABLES) -> DataFrame:
-    """``table, key, Stage`` and the accuracy metrics: all tables in one aggregate over one scan."""
-    parts = F.array_compact(F.array(*[F.when(F.coalesce(F.expr(t.where), F.lit(False)) if t.where else F.lit(True), F.struct(F.lit(n).alias("table"), _key(t).alias("key"))) for n, t in tables.items()]))
-    dealt = df.where(c(ACTUAL).isNotNull()).withColumn("_parts", parts)
-    long = by_stage(dealt, stages, [ACTUAL, "_parts"]).where(c("Forecast_MWH").isNotNull())
-    long = long.select(ACTUAL, "Stage", "Forecast_MWH", F.inline("_parts"))
-    return long.groupBy("table", "key", "Stage").agg(*[a.alias(n) for n, a in metric_aggs().items()])
+    """``table, key, Stage`` and the accuracy metrics: all tables from the cells of one scan."""
+    keys = list(dict.fromkeys(k for t in tables.values() for k in t.keys))
+    slices = {w: f"_in{i}" for i, w in enumerate(dict.fromkeys(t.where for t in tables.values() if t.where))}
+    inside = df.where(c(ACTUAL).isNotNull()).withColumns({n: F.coalesce(F.expr(w), F.lit(False)) for w, n in slices.items()})
+    cell = [*keys, *slices.values()]
+    long = by_stage(inside, stages, [*cell, ACTUAL]).where(c("Forecast_MWH").isNotNull())
+    cells = long.groupBy(*cell, "Stage").agg(*[a.alias(n) for n, a in metric_sums().items()])
+    parts = F.array_compact(F.array(*[F.when(c(slices[t.where]) if t.where else F.lit(True), F.struct(F.lit(n).alias("table"), _key(t).alias("key"))) for n, t in tables.items()]))
+    dealt = cells.select("Stage", *metric_sums(), F.inline(parts))
+    return dealt.groupBy("table", "key", "Stage").agg(*[a.alias(n) for n, a in metrics_of_sums().items()])
 
 
 def write_bundle(df: DataFrame, stages: Mapping[str, str], tables: Mapping[str, Table] = TABLES, folder: str | None = None) -> str:

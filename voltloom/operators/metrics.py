@@ -35,6 +35,24 @@ def metric_aggs(actual: str = ACTUAL, forecast: str = "Forecast_MWH", peak_at: s
     return out
 
 
+def metric_sums(actual: str = ACTUAL, forecast: str = "Forecast_MWH") -> dict[str, Column]:
+    """What ``metrics_of_sums`` needs of a cell; sums of cells are the sums of the group they make up."""
+    a, f = F.col(actual), F.col(forecast)
+    r = a - f
+    ape = F.when(F.abs(a) > 1e-9, F.abs(r) / F.abs(a) * 100.0)
+    return {"_n": F.count("*"), "_a": F.sum(a), "_f": F.sum(f), "_r": F.sum(r), "_ar": F.sum(F.abs(r)), "_rr": F.sum(r * r), "_p": F.sum(ape), "_pn": F.count(ape),
+            "_u": F.count(F.when(r > 0, 1)), "_under": F.max(r), "_over": F.max(-r)}
+
+
+def metrics_of_sums() -> dict[str, Column]:
+    """The metrics of ``metric_aggs`` from cells of ``metric_sums``."""
+    n = F.sum("_n")
+    mean = lambda x: F.sum(x) / n
+    return {"N": n, "Actual_Mean_MWH": mean("_a"), "Forecast_Mean_MWH": mean("_f"), "Bias_MWH": mean("_r"), "MAE_MWH": mean("_ar"), "RMSE_MWH": F.sqrt(mean("_rr")),
+            "MAPE_PCT": safe_div(F.sum("_p"), F.sum("_pn")), "Underforecast_Rate_PCT": F.sum("_u") * 100.0 / n,
+            "Max_Underforecast_MWH": F.max("_under"), "Max_Overforecast_MWH": F.greatest(F.max("_over"), F.lit(0.0))}
+
+
 def grouped_metrics(df: DataFrame, keys: Sequence[str], forecast: str = "Forecast_MWH", actual: str = ACTUAL,
                     min_count: int = 1, p90: bool = True, peak_at: str | None = None,
                     extra: Mapping[str, Column] | None = None) -> DataFrame:
