@@ -54,6 +54,7 @@ def test_levels_joined_one_by_one_equal_those_of_the_combinations(spark, history
 
 
 def test_no_lookup_or_profile_shuffles_the_frame(spark, history):
+    history = history.withColumn("SolarLossBucket", F.lit("Low"))
     big = spark.range(300_000).crossJoin(history.limit(1))
     profile = R.recent_profile(history)
     out = R.apply_profile(big.withColumn("Forecast_Lead_Hour", F.lit(3)), profile)

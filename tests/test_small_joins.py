@@ -19,7 +19,7 @@ def rows(spark):
         F.when(i % 3 > 0, F.concat(F.lit("s"), (i % 3).cast("string"))).alias("series"), i.alias("row_id"), t.alias("DT"), t.alias("IntervalStartDT"), F.hour(t).alias("Hour"),
         (F.lit(1) + i % 16).cast("int").alias("Forecast_Day"), (F.lit(80.0) + i % 30).alias("Temperature_DailyMax"), (i % 97 / 1.0).alias("Raw_Forecast_MWH"), (i % 89 / 1.0).alias("Actual_MWH"), (i % 83 / 1.0).alias("MWH_Lag24"),
         (i % 7).alias("HourGroup"), F.lit("Clear").alias("CloudCoverBucket"), F.lit("Low").alias("SolarLossBucket"), F.lit("hot").alias("DailyMaxTempBin"), F.lit(1).alias("IsLikelySystemPeakHour"))
-    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue() > 30_000_000
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 30_000_000
     return df
 
 
