@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltloom.core.scratch import materialise
+from voltloom.core.scratch import discard, passing
 from voltloom.llm import decontam, minmax, mixing, quality, token_files
 from voltloom.llm.base import table
 
@@ -46,7 +46,11 @@ ORACLE_SQL = None  # tokenization is beyond SQL; tests/llm compares with a brute
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order; a stage's own tables go when its result is written, that when the next one is."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), spark)
+        with passing(spark) as keep:
+            left = keep(stage(spark, docs, sf_dir))
+        discard(docs, spark)
+        docs = left
     return docs

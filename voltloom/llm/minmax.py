@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voltloom.core.scratch import materialise
+from voltloom.core.scratch import materialise, passing
 from voltloom.llm.base import packed, query, table
 from voltloom.llm.graph import components
 
@@ -193,7 +193,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     set, are linked with nothing and are kept.  Null doc_ids are ignored in the minimum;
     a component without any other id has a null component_id and its rows are kept.
     Repeated rows are one class and share the verdict.
+
+    The result is written; bands, buckets, sets and pairs are removed with that.
     """
+    with passing(docs.sparkSession) as keep:
+        return keep(_verdicts(docs))
+
+
+def _verdicts(docs: DataFrame) -> DataFrame:
     rows = materialise(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
         _sign, "doc_id bigint, text_hash bigint, n_shingles bigint, set_print binary, bands array<bigint>"))
     classes = rows.where("set_print IS NOT NULL").groupBy("set_print").agg(

@@ -8,13 +8,15 @@ the prefix sum of their sizes decides where to stop.
 No source is ever sorted in one task.  Keys fall into buckets sized by the source's
 row count, bucket sums place the stop in one bucket, and only that bucket is ordered,
 equal keys folded to one row.  The stop is then a key per source and how many of the
-rows that share it are taken, so the decision for a row needs that one small table;
-texts are not shuffled.  Rows that share the stop key are equal in id and text; they
-are folded to one row with a count before some of them are taken.
+rows that share it are taken, so the decision for a row needs that one small table and
+its label.  ``mix`` moves numbers only; ``mixed_rows`` shuffles the texts whose label
+decides (under half of any source), each once.  Rows that share the stop key are equal
+in id and text; they are folded to one row with a count before some of them are taken.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -63,19 +65,28 @@ def sampling_key(doc_id: Column, text: Column, weight: Column, seed: str) -> Col
     return -F.log(u) / weight
 
 
-def scored(docs: DataFrame, labels: DataFrame | None, seed: str, keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, source, size, key`` and the columns of ``keep`` for every row.
+def _drawn(docs: DataFrame, seed: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, source, size`` and ``_e``, the key that weight 1 gives, for every row."""
+    return docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), F.col("text"), F.lit(1.0), seed).alias("_e"), *keep)
 
-    The quality weight comes from the labels (folded to the best per document); a row
-    without a label, or with another value than 0 and 1, has weight 1.
-    """
+
+def _weighted(drawn: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Add ``weight`` and ``key`` to drawn rows."""
     w = F.lit(QUALITY_WEIGHTS[None])
-    numbers = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), sampling_key(F.col("doc_id"), F.col("text"), F.lit(1.0), seed).alias("_e"), *keep)
     if labels is not None:
         q = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_q"))
-        numbers = numbers.join(q, F.col("doc_id") == F.col("_id"), "left")
+        drawn = drawn.join(q, F.col("doc_id") == F.col("_id"), "left")
         w = F.coalesce(*[F.when(F.col("_q") == k, F.lit(v)) for k, v in QUALITY_WEIGHTS.items() if k is not None], w)
-    return numbers.select("doc_id", "source", "size", (F.col("_e") / w).alias("key"), w.alias("weight"), *keep)
+    return drawn.withColumns({"key": F.col("_e") / w, "weight": w}).drop("_id", "_q")
+
+
+def scored(docs: DataFrame, labels: DataFrame | None, seed: str) -> DataFrame:
+    """``doc_id, source, size, key, weight`` for every row.
+
+    The quality weight comes from the labels (folded to the best per document); a row
+    without a label, or with another value than 0 and 1, has weight 1.
+    """
+    return _weighted(_drawn(docs, seed), labels).select("doc_id", "source", "size", "key", "weight")
 
 
 def _bucket() -> Column:
@@ -177,14 +188,22 @@ def mixed_rows(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mi
     """The mix itself: every row as often as ``mix`` takes it, with the columns of ``docs``.
 
     Of rows with equal id and text but other columns that differ, those with the smaller
-    hash are taken where only some are.
+    hash are taken where only some are.  A row whose key lies on one side of the stop
+    under every weight is decided where it is read; only the others meet the labels.
     """
     plan = stops(materialise(scored(docs, labels, seed)))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    keyed = _with_plan(scored(docs.withColumn("_row", row), labels, seed, keep=("_row",)), plan)
-    single = _copies(keyed.where(~_at_stop()), times()).select("_row.*")
-    tied = _shared(keyed.where(_at_stop()), ["_row"])
-    return single.unionByName(_copies(tied, F.col("epochs") * F.col("_n") + F.col("_more")).select("_row.*"))
+    drawn = _with_plan(_drawn(docs.select("doc_id", "source", "text", row.alias("_row")), seed, keep=("_row",)), plan)
+    weights = [QUALITY_WEIGHTS[None]] if labels is None else list(QUALITY_WEIGHTS.values())
+    stop = F.struct(F.col("stop_key").alias("key"), F.col("stop_size").alias("size"))
+    under = lambda w: F.struct((F.col("_e") / F.lit(w)).alias("key"), "size")
+    between = F.coalesce(F.col("samples") & (F.col("size") > 0) & F.col("stop_key").isNotNull() & (under(max(weights)) <= stop) & (under(min(weights)) >= stop), F.lit(False))
+    decided = _copies(drawn.where(~between).withColumn("key", F.col("_e") / F.lit(weights[0])), times()).select("_row.*")
+    open_ = drawn.where(between)
+    single = _copies(_weighted(open_, labels).where(~_at_stop()), times()).select("_row.*")
+    near = functools.reduce(Column.__or__, [under(w) == stop for w in weights])  # else the tied rows are looked for among all open texts
+    tied = _shared(_weighted(open_.where(near), labels).where(_at_stop()), ["_row"])
+    return decided.unionByName(single).unionByName(_copies(tied, F.col("epochs") * F.col("_n") + F.col("_more")).select("_row.*"))
 
 
 SQL = """
