@@ -22,7 +22,7 @@ import math
 import random
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltloom.core.scratch import materialise
@@ -95,15 +95,21 @@ def _ones(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
 
-def _seeds(tok: str, masks) -> Column:
-    """Array of (pos, seed) for every window of every mask."""
-    def of(mask: str) -> Column:
-        hashed = lambda i: F.xxhash64(F.lit(mask), *[F.get(tok, i + o) for o in _ones(mask)])
-        return F.when(F.size(tok) >= len(mask), F.transform(
-            F.sequence(F.lit(0), F.size(tok) - len(mask)), lambda i: F.struct(i.alias("pos"), hashed(i).alias("seed"))))
+def _seeds(rows: DataFrame, tok: str, of_n: dict[int, tuple[str, ...]]) -> DataFrame:
+    """``rows`` with ``pos, lengths, seed`` for every window of every mask in the words ``tok``; ``of_n`` has the masks of each length.
 
-    none = F.array().cast("array<struct<pos:int,seed:bigint>>")
-    return F.concat(*[F.coalesce(of(m), none) for m in masks])
+    Masks are data, a row each, so the compiled code stays small however many there are.
+    The outer explode keeps Spark from adding a filter on its size, which would make the words twice.
+    """
+    lengths: dict[str, list[int]] = {}
+    for n, masks in of_n.items():
+        for m in masks:
+            lengths.setdefault(m, []).append(n)
+    table = F.array(*[F.struct(F.lit(m).alias("mask"), F.array(*map(F.lit, _ones(m))).alias("ones"), F.lit(len(m)).alias("span"), F.array(*map(F.lit, ns)).alias("lengths"))
+                      for m, ns in lengths.items()])
+    windows = rows.select("*", F.posexplode_outer(tok).alias("pos", "word")).select("*", F.inline(table)).where(F.col("pos") + F.col("span") <= F.size(tok))
+    words = [F.get(tok, F.col("pos") + F.get("ones", F.lit(j))) for j in range(max(m.count("1") for m in lengths))]  # null, which the hash skips, beyond the ones
+    return windows.withColumn("seed", F.xxhash64("mask", *words)).drop("word", "mask", "ones", "span")
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -117,14 +123,13 @@ def _good(docs: DataFrame, benchmark: DataFrame, window: int, share: float) -> D
     items = materialise(_items(benchmark))
     short = sorted(r[0] for r in items.where(F.size("item") < window).select(F.size("item")).distinct().collect())
     of_n = {n: masks_for(n, share, window) for n in (window, *short)}
-    masks = list(dict.fromkeys(m for ms in of_n.values() for m in ms))
-    of_length = F.coalesce(*[F.when(F.size("item") == n, _seeds("item", of_n[n])) for n in short], _seeds("item", of_n[window]))
-    of_items = materialise(items.select("_i", F.explode(of_length).alias("s")).select("_i", F.col("s.pos").alias("ipos"), F.col("s.seed").alias("seed")))
+    of_length = F.array_contains("lengths", F.least(F.size("item"), F.lit(window)))
+    of_items = materialise(_seeds(items, "item", of_n).where(of_length).select("_i", F.col("pos").alias("ipos"), "seed"))
     small = of_items.count() <= BROADCAST_SEEDS
     known = F.broadcast(of_items) if small else of_items
 
     toks = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), tokens(F.col("text")).alias("tok"))
-    of_docs = toks.select("doc_id", "text_hash", F.explode(_seeds("tok", masks)).alias("s")).select("doc_id", "text_hash", F.col("s.pos").alias("pos"), F.col("s.seed").alias("seed"))
+    of_docs = _seeds(toks, "tok", of_n).select("doc_id", "text_hash", "pos", "seed")
     found = (of_docs.join(known, "seed").select("doc_id", "text_hash", "_i", (F.col("pos") - F.col("ipos")).alias("at")).distinct()
              .groupBy("doc_id", "text_hash", "_i").agg(F.collect_set("at").alias("ats")))
     found = materialise(found.withColumnsRenamed({"doc_id": "_id", "text_hash": "_h"}))
