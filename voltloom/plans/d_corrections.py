@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..core.scratch import materialise
 from ..functions import buckets as B
 from ..operators import bands as BD
 from ..operators import event_class as E
@@ -456,6 +457,11 @@ def bands(spark, d):
     return BD.apply_bands(b, RAW, 0.03, 1.0, BD.band_lookup(b, "Residual_MWH", 1.0), weather_risk={}, hot_rules=HOT_RULES)
 
 
+def stored_bands(spark, d, *cols):
+    """Columns of the banded cube, written once: the passes after it (and their filters) would each work out the whole band anew."""
+    return materialise(bands(spark, d).select(*cols), spark)
+
+
 @query("unc02_interval_bands", ctes("bt") + "," + BANDS_SQL + """
 SELECT row_id, band, method, greatest(Raw_Forecast_MWH - band, 0) AS p10, Raw_Forecast_MWH + band AS p90 FROM v_bd""", r6=["band", "p10", "p90"])
 def _(spark, d):
@@ -467,7 +473,7 @@ s AS (SELECT 'Overall' AS "Slice", * FROM v_bd UNION ALL SELECT 'Season:' || Sea
 SELECT "Slice", CAST(count(*) AS BIGINT) AS n, avg(CASE WHEN abs(Residual_MWH) <= band THEN 100.0 ELSE 0 END) AS cov, avg(band) AS w, avg(greatest(abs(Residual_MWH)-band,0)) AS miss, quantile_cont(abs(Residual_MWH),0.9) AS p90 FROM s GROUP BY 1""", r6=["cov", "w", "miss", "p90"])
 def _(spark, d):
     from ..operators import scorecards as SC
-    o = bands(spark, d)
+    o = stored_bands(spark, d, "Residual_MWH", "Band", "Season", "Weather_Input_Risk_Class")
     n = F.array(F.lit("Overall"), F.concat(F.lit("Season:"), "Season"), F.concat(F.lit("RiskClass:"), "Weather_Input_Risk_Class"))
     c = SC.coverage(o.select("Residual_MWH", "Band", F.explode(n).alias("Slice")), ["Slice"], "Residual_MWH", "Band")
     return c.select("Slice", F.col("N").alias("n"), F.col("Coverage_PCT").alias("cov"), F.col("Avg_Band_MWH").alias("w"), F.col("Avg_Band_Miss_MWH").alias("miss"), F.col("P90_AbsError_MWH").alias("p90"))
@@ -478,7 +484,7 @@ s AS (SELECT 'raw' AS "Stage", *, Actual_MWH-Raw_Forecast_MWH AS e FROM v_bd UNI
 SELECT "Stage", HourGroup, CAST(count(*) AS BIGINT) AS n, avg(CASE WHEN abs(e) <= band THEN 100.0 ELSE 0 END) AS cov, max(greatest(abs(e)-band,0)) AS worst FROM s GROUP BY 1, 2""", r6=["cov", "worst"])
 def _(spark, d):
     from ..operators import scorecards as SC
-    o = bands(spark, d).withColumn("p1", F.col(ACT) + 1.0)
+    o = stored_bands(spark, d, RAW, ACT, "HourGroup", "Band").withColumn("p1", F.col(ACT) + 1.0)
     long = M.by_stage(o, {"raw": RAW, "actual_plus_one": "p1"}, ["HourGroup", ACT, "Band"]).withColumn("e", F.col(ACT) - F.col("Forecast_MWH"))
     c = SC.coverage(long, ["Stage", "HourGroup"], "e", "Band")
     return c.select("Stage", "HourGroup", F.col("N").alias("n"), F.col("Coverage_PCT").alias("cov"), F.col("Max_Band_Miss_MWH").alias("worst"))
@@ -499,7 +505,7 @@ SCEN_SQL = "Raw_Forecast_MWH*1.04 + row_id%3 AS sc_warm, Raw_Forecast_MWH*0.97 -
 z AS (SELECT *, {HB} AS hb, abs(Residual_MWH) AS ae, {SCEN_SQL} FROM v_bd), q1 AS (SELECT cls, hb, quantile_cont(ae,0.8) AS q FROM z GROUP BY 1,2)
 SELECT row_id, q, CASE WHEN wm > 1 OR z.cls <> 'none' THEN greatest(band/wm, q, (greatest(sc_warm,sc_cool)-least(sc_warm,sc_cool))/2) ELSE band END AS band FROM z JOIN q1 USING (cls, hb)""", r6=["q", "band"])
 def _(spark, d):
-    o = scen(bands(spark, d)).withColumns({"Replay_Horizon_Bucket": B.horizon_bucket("Forecast_Day", "replay"), "AbsError_MWH": F.abs("Residual_MWH")})
+    o = scen(stored_bands(spark, d, "row_id", RAW, "Residual_MWH", "Forecast_Day", "Band", "Weather_Input_Risk_Multiplier", "Weather_Input_Risk_Class")).withColumns({"Replay_Horizon_Bucket": B.horizon_bucket("Forecast_Day", "replay"), "AbsError_MWH": F.abs("Residual_MWH")})
     c = BD.conformal_bands(o, BD.conformal_lookup(o), RAW, S.half_spread(list(SCEN.values())))
     return c.select("row_id", F.col("Conformal_Weather_Band_MWH").alias("q"), F.col("Band").alias("band"))
 
